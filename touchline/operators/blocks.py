@@ -48,8 +48,9 @@ def blockwise(
         return out.assign(block=block)
 
     keys = [F.col("_lb").cast("long").alias("_lb"), F.col("_rb").cast("long").alias("_rb")]
-    a = a.select(*left.columns, *keys)
-    b = b.select(*right.columns, *keys)
+    # fresh aliases: the two tables often come from one, and must not share columns
+    a = a.select(*[F.col(c).alias(c) for c in left.columns], *keys)
+    b = b.select(*[F.col(c).alias(c) for c in right.columns], *keys)
     return (
         a.groupBy("_lb", "_rb")
         .cogroup(b.groupBy("_lb", "_rb"))

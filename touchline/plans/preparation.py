@@ -125,7 +125,11 @@ def clean(master: DataFrame, settings: Preparation = Preparation()) -> DataFrame
 
 
 def features(df: DataFrame, names=STRATEGIES) -> DataFrame:
-    """Occupancy and k-means strategies in place of attendance, seats and formations."""
+    """Occupancy and k-means strategies in place of attendance, seats and formations.
+
+    The clean table is staged first: fitting and labelling both read it.
+    """
+    df = stage(df, "clean")
     df = df.withColumn("occupancy", ratio(F.col("attendance"), F.col("seats"))).drop("attendance", "seats")
     df = with_strategies(df, {"formation_home": "strategy_home", "formation_away": "strategy_away"}, names)
     return df.drop("formation_home", "formation_away")
