@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -48,8 +49,15 @@ def rounded(df: DataFrame, *cols: str) -> DataFrame:
     return df.withColumns({c: r6(c) for c in cols})
 
 
+_KNOWN_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """One given table; its schema is looked up in the file only once."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _KNOWN_SCHEMAS:
+        _KNOWN_SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_KNOWN_SCHEMAS[path]).parquet(path)
 
 
 def _pick(index: Column, values) -> Column:

@@ -28,17 +28,23 @@ def _as_double(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def with_slice(df: DataFrame, order_col: str, out: str, slices: int = SLICES) -> DataFrame:
+def with_slice(
+    df: DataFrame, order_col: str, out: str, slices: int = SLICES, cuts_from: DataFrame | None = None
+) -> DataFrame:
     """Add the slice number of each row: how many quantile cuts lie at or below it.
 
-    The cuts come from one approximate-quantile aggregate over the table, held as
-    a scalar subquery, so slices are of like size whatever the distribution.
+    The cuts come from one approximate-quantile aggregate, held as a scalar
+    subquery, so slices are of like size whatever the distribution. ``cuts_from``
+    is a table with the same column that is cheaper to scan, such as the rows
+    that ``df`` was aggregated from; the subquery then runs beside that work.
     """
-    number = _as_double(df, order_col)
+    source = df if cuts_from is None else cuts_from
     probs = F.lit([i / slices for i in range(1, slices)])
-    cuts = df.select(F.percentile_approx(number, probs, F.lit(10 * slices)).alias("cuts"))
+    cuts = source.select(
+        F.percentile_approx(_as_double(source, order_col), probs, F.lit(10 * slices)).alias("cuts")
+    )
     above = [f"coalesce(cast(_number >= _cuts[{i}] as int), 0)" for i in range(slices - 1)]
-    marked = df.withColumns({"_number": number, "_cuts": cuts.scalar()})
+    marked = df.withColumns({"_number": _as_double(df, order_col), "_cuts": cuts.scalar()})
     return marked.select(*df.columns, F.expr(" + ".join(above)).alias(out))
 
 
@@ -51,6 +57,7 @@ def carry_along(
     suffix: str = "",
     slice_on: str | None = None,
     slices: int = SLICES,
+    cuts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Last non-null value at or before each row (``backward``: first at or after).
 
@@ -60,7 +67,7 @@ def carry_along(
     """
     slice_on = slice_on or order[-1]
     leading = list(order[: list(order).index(slice_on)])
-    base = with_slice(df, slice_on, "_slice", slices)
+    base = with_slice(df, slice_on, "_slice", slices, cuts_from)
     chunk = [*leading, "_slice"]
     keyed = F.lit(True)
     for k in keys:

@@ -48,10 +48,9 @@ def group_percentiles(
     nor a long list of distinct values ever sits in one task.
     """
     keys = list(keys)
-    counts = df.where(_present([*keys, col])).groupBy(*keys, F.col(col).cast("double").alias("_x")).agg(
-        F.count("*").alias("_n")
-    )
-    counts = with_slice(counts, "_x", "_slice", slices)
+    values = df.where(_present([*keys, col])).select(*keys, F.col(col).cast("double").alias("_x"))
+    counts = values.groupBy(*keys, "_x").agg(F.count("*").alias("_n"))
+    counts = with_slice(counts, "_x", "_slice", slices, cuts_from=values)
     per_slice = counts.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_m"))
     in_key = Window.partitionBy(*keys)
     run = in_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
