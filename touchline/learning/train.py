@@ -145,6 +145,12 @@ def importances(model, names: Sequence[str]) -> list[tuple[str, float]]:
     return sorted(pairs, key=lambda p: (-p[1], p[0]))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least as many partitions as there are cores, for tables that are read again and again."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def train_regressors(
     train: DataFrame,
     test: DataFrame,
@@ -153,7 +159,7 @@ def train_regressors(
     categorical: Sequence[str],
     grids: dict | None = None,
     folds: int = 3,
-    parallelism: int = 4,
+    parallelism: int = 8,
     seed: int = SEED,
 ) -> list[Fitted]:
     """Tune each regressor by cross-validation on RMSE and score it on the test rows.
@@ -162,7 +168,7 @@ def train_regressors(
     """
     prepared: PipelineModel = feature_pipeline(numeric, categorical).fit(train)
     cols = ["features", F.col(label).cast("double").alias("label")]
-    fit_on = prepared.transform(train).where(F.col(label).isNotNull()).select(*cols).persist()
+    fit_on = spread(prepared.transform(train).where(F.col(label).isNotNull()).select(*cols)).persist()
     score_on = prepared.transform(test).where(F.col(label).isNotNull()).select(*cols).persist()
     names = slot_names(fit_on)
     fitted = []
@@ -259,7 +265,7 @@ def train_classifiers(
     """Four classifiers on a text label, scored on the test rows: one row per model."""
     indexer = StringIndexer(inputCol=label, outputCol="label", handleInvalid="skip")
     prepared = Pipeline(stages=[indexer, *feature_pipeline(numeric, categorical).getStages()]).fit(train)
-    fit_on = prepared.transform(train).select("features", "label").persist()
+    fit_on = spread(prepared.transform(train).select("features", "label")).persist()
     score_on = prepared.transform(test).select("features", "label").persist()
     width = fit_on.schema["features"].metadata["ml_attr"]["num_attrs"]
     classes = len(prepared.stages[0].labels)

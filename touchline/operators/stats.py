@@ -100,19 +100,32 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(stats, list(keys), "left").select(*df.columns, *added)
 
 
+def group_medians(df: DataFrame, keys: Sequence[str], cols: Mapping[str, str]) -> DataFrame:
+    """Median per group of several columns: they are stacked and searched together."""
+    if len(cols) == 1:
+        ((out, col),) = cols.items()
+        return group_percentiles(df, keys, col, {out: 0.5})
+    pairs = F.array(
+        *[F.struct(F.lit(o).alias("_col"), F.col(c).cast("double").alias("_value")) for o, c in cols.items()]
+    )
+    long = df.select(*keys, F.explode(pairs).alias("_p")).select(*keys, "_p.*")
+    medians = group_percentiles(long, [*keys, "_col"], "_value", {"_median": 0.5})
+    return medians.groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_col") == o, F.col("_median"))).alias(o) for o in cols]
+    )
+
+
 def group_statistic(
     df: DataFrame, keys: Sequence[str], cols: Mapping[str, str], method: str
 ) -> DataFrame:
     """Statistics table of several columns: ``cols`` maps output to input column."""
     if method == "mean":
         return group_means(df, keys, cols)
+    if method == "median":
+        return group_medians(df, keys, cols)
     out = None
     for o, c in cols.items():
-        one = (
-            group_mode(df, keys, c, o)
-            if method == "mode"
-            else group_percentiles(df, keys, c, {o: {"median": 0.5}[method]})
-        )
+        one = group_mode(df, keys, c, o)
         out = one if out is None else out.join(one, list(keys), "full")
     return out
 
