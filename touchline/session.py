@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_own_dirs: dict[str, str] = {}
 
 
 def local_session(cores: str = "*", app: str = "touchline", partitions: int = 8) -> SparkSession:
@@ -38,9 +39,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
-    own = tempfile.mkdtemp(prefix="touchline-stages-")
-    spark.conf.set(CHECKPOINT_DIR, own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _own_dirs:
+        _own_dirs[app] = tempfile.mkdtemp(prefix="touchline-stages-")
+    return _own_dirs[app]
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
