@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from touchline.functions.formation import DEFAULT_LINES, formation_lenient
 from touchline.functions.values import lookup
 from touchline.operators.blocks import blockwise
+from touchline.session import stage
 
 LINES = ("defenders", "midfielders", "attackers")
 # Names of the clusters from the fewest to the most attackers.
@@ -66,16 +67,14 @@ def fit_strategies(
 ) -> tuple[KMeansModel, DataFrame]:
     """K-means over the formations used, and the table of formations with cluster ids.
 
-    The fit runs on distinct formations weighted by use. Scaling uses the mean
-    and deviation over all uses.
+    The fit runs on distinct formations weighted by use, written once so that
+    ``df`` is scanned once. Scaling uses the mean and deviation over all uses.
     """
-    counts = formation_lines(formation_counts(df, cols), "formation")
-    scaled = standardised(counts, LINES, "n").withColumn("features", array_to_vector(F.array(*LINES)))
-    fit_on = scaled.where("n > 0").persist()
-    model = KMeans(k=k, seed=seed, weightCol="n").fit(fit_on)
-    labels = model.transform(scaled).select("formation", "n", "features", "prediction")
-    fit_on.unpersist()
-    return model, labels
+    counts = stage(formation_counts(df, cols), "formations")
+    scaled = standardised(formation_lines(counts, "formation"), LINES, "n")
+    scaled = scaled.withColumn("features", array_to_vector(F.array(*LINES)))
+    model = KMeans(k=k, seed=seed, weightCol="n").fit(scaled.where("n > 0"))
+    return model, model.transform(scaled).select("formation", "n", "features", "prediction")
 
 
 def strategy_names(model: KMeansModel, names: Sequence[str] = STRATEGIES) -> Column:
@@ -90,7 +89,7 @@ def with_strategies(
     """Strategy columns from formation columns: {formation column: strategy column}."""
     model, labels = fit_strategies(df, list(roles), len(names), seed)
     default = "-".join(str(n) for n in DEFAULT_LINES)
-    named = labels.select("formation", strategy_names(model, names).alias("name"))
+    named = stage(labels.select("formation", strategy_names(model, names).alias("name")), "strategies")
     for src, out in roles.items():
         side = named.select(F.col("formation").alias("_f"), F.col("name").alias(out))
         df = df.withColumn("_f", F.coalesce(F.col(src), F.lit(default))).join(side, "_f", "left").drop("_f")
