@@ -9,18 +9,28 @@ from touchline.operators.impute import (
     fill_where, forward_fill, group_fills, impute, impute_mode_then_global, override_where,
 )
 from touchline.operators.knn import knn_impute
-from touchline.operators.ordered import with_slice
+from touchline.operators.ordered import with_slices
 from touchline.operators.stats import global_statistic, group_mode, group_percentiles, min_max_scaled
 
 
 def test_slices_are_monotone_and_even(spark):
     df = spark.range(1000).select((F.col("id") * F.col("id")).alias("x"))
-    got = with_slice(df, "x", "s", 10).orderBy("x").collect()
+    got = with_slices(df, ["x"], ["s"], 10).orderBy("x").collect()
     s = [r["s"] for r in got]
     assert s == sorted(s) and s[0] == 0 and s[-1] == 9
     assert max(s.count(i) for i in range(10)) < 150
 
 
+def test_slices_split_a_shared_value(spark):
+    rnd = random.Random(9)
+    data = sorted((7 if rnd.random() < 0.5 else rnd.randrange(20), i) for i in range(2000))
+    df = spark.createDataFrame(data, "season int, id int")
+    got = with_slices(df, ["season", "id"], ["a", "b"], 8).orderBy("season", "id").collect()
+    numbers = [(r["a"], r["b"]) for r in got]
+    assert numbers == sorted(numbers)  # the numbers follow the order
+    assert max(numbers.count(n) for n in set(numbers)) < 400  # half of the rows share one season
+
+
 @pytest.mark.parametrize("backward", [False, True])
 def test_fill_along_a_hot_key(spark, rows, backward):
     rnd = random.Random(3)

@@ -42,7 +42,7 @@ def asof_backward(
     points = probe.select(*keys, F.lit(None).cast(build.schema[on].dataType).alias("_at"), F.lit(1).alias("_side"))
     points = points.unionByName(build.select(*keys, F.col(on).alias("_at"), F.lit(0).alias("_side")))
     raw = left.select(on).unionByName(right.select(on))
-    found = carry_along(points, by, [on, "_side"], ["_at"], slice_on=on, slices=slices, cuts_from=raw)
+    found = carry_along(points, by, [on, "_side"], ["_at"], slice_on=[on], slices=slices, cuts_from=raw)
     found = found.where("_side = 1 and _at is not null").drop("_side")
 
     rows = build.select(*[F.col(k) for k in by], F.col(on).alias("_at"), "_row")

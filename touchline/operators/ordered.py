@@ -8,6 +8,7 @@ slices pass on is one small row per slice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,24 +29,43 @@ def _as_double(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("double")
 
 
-def with_slice(
-    df: DataFrame, order_col: str, out: str, slices: int = SLICES, cuts_from: DataFrame | None = None
+def with_slices(
+    df: DataFrame,
+    order: Sequence[str],
+    out: Sequence[str],
+    slices: int = SLICES,
+    cuts_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the slice number of each row: how many quantile cuts lie at or below it.
+    """Cut the rows, along one or more order columns, into numbered slices of like size.
+
+    The first number counts the quantile cuts at or below the first column. Where
+    a value is itself a cut, and so may be shared by very many rows, its rows are
+    cut further along the next column; all other rows of that slice come after
+    them and get the top number. Sorting by the numbers keeps the order.
 
     The cuts come from one approximate-quantile aggregate, held as a scalar
-    subquery, so slices are of like size whatever the distribution. ``cuts_from``
-    is a table with the same column that is cheaper to scan, such as the rows
-    that ``df`` was aggregated from; the subquery then runs beside that work.
+    subquery. ``cuts_from`` is a table with the same columns that is cheaper to
+    scan, such as the rows that ``df`` was aggregated from.
     """
     source = df if cuts_from is None else cuts_from
     probs = F.lit([i / slices for i in range(1, slices)])
     cuts = source.select(
-        F.percentile_approx(_as_double(source, order_col), probs, F.lit(10 * slices)).alias("cuts")
+        F.struct(
+            *[
+                F.percentile_approx(_as_double(source, c), probs, F.lit(10 * slices)).alias(f"c{i}")
+                for i, c in enumerate(order)
+            ]
+        ).alias("cuts")
+    )
+    marked = df.withColumns(
+        {"_cuts": cuts.scalar(), **{f"_number{i}": _as_double(df, c) for i, c in enumerate(order)}}
     )
-    above = [f"coalesce(cast(_number >= _cuts[{i}] as int), 0)" for i in range(slices - 1)]
-    marked = df.withColumns({"_number": _as_double(df, order_col), "_cuts": cuts.scalar()})
-    return marked.select(*df.columns, F.expr(" + ".join(above)).alias(out))
+    numbers, shared = [], "true"
+    for i, name in enumerate(out):
+        above = " + ".join(f"coalesce(cast(_number{i} >= _cuts.c{i}[{j}] as int), 0)" for j in range(slices - 1))
+        numbers.append(F.expr(f"case when {shared} then {above} else {slices} end").alias(name))
+        shared = f"{shared} and array_contains(_cuts.c{i}, _number{i})"
+    return marked.select(*df.columns, *numbers)
 
 
 def carry_along(
@@ -54,21 +74,21 @@ def carry_along(
     order: Sequence[str],
     columns: Sequence[str],
     backward: bool = False,
-    suffix: str = "",
-    slice_on: str | None = None,
+    slice_on: Sequence[str] | None = None,
     slices: int = SLICES,
     cuts_from: DataFrame | None = None,
 ) -> DataFrame:
     """Last non-null value at or before each row (``backward``: first at or after).
 
-    ``order`` must be a total order within a key; slices are cut on ``slice_on``
-    (its last column, if not given), within the exact values of the columns
-    before that one. A row whose key holds NULL keeps its own value.
+    ``order`` must be a total order within a key. Slices are cut along
+    ``slice_on``, the leading number and date columns of the order if not given.
+    A row whose key holds NULL keeps its own value.
     """
-    slice_on = slice_on or order[-1]
-    leading = list(order[: list(order).index(slice_on)])
-    base = with_slice(df, slice_on, "_slice", slices, cuts_from)
-    chunk = [*leading, "_slice"]
+    if slice_on is None:
+        cuttable = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+        slice_on = list(takewhile(lambda c: isinstance(df.schema[c].dataType, cuttable), order))
+    chunk = [f"_s{i}" for i in range(len(slice_on))]
+    base = with_slices(df, slice_on, chunk, slices, cuts_from)
     keyed = F.lit(True)
     for k in keys:
         keyed = keyed & F.col(k).isNotNull()
@@ -87,14 +107,10 @@ def carry_along(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = ends.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        *[F.col(c).alias(f"_k_{c}") for c in chunk],
+        *[F.col(c).alias(f"_k_{c}") for c in [*keys, *chunk]],
         *[F.last(f"_e_{c}", ignorenulls=True).over(before)["v"].alias(f"_c_{c}") for c in columns],
     )
-    match = [F.col(k) == F.col(f"_k_{k}") for k in keys]
-    match += [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in leading]
-    match += [F.col("_slice") == F.col("_k__slice")]
-    joined = base.join(carried, match, "left")
+    joined = base.join(carried, [F.col(c) == F.col(f"_k_{c}") for c in [*keys, *chunk]], "left")
 
     inside = (
         Window.partitionBy(*keys, *chunk)
@@ -102,11 +118,7 @@ def carry_along(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     out = {
-        f"{c}{suffix}": F.when(
-            keyed, F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"_c_{c}"))
-        ).otherwise(F.col(c))
+        c: F.when(keyed, F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"_c_{c}"))).otherwise(F.col(c))
         for c in columns
     }
-    names = [c for c in df.columns if c not in out]
-    filled = joined.select(*names, *[v.alias(n) for n, v in out.items()])
-    return filled.select(*df.columns, *[n for n in out if n not in df.columns])
+    return joined.select(*[out[c].alias(c) if c in out else F.col(c) for c in df.columns])

@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.operators.ordered import SLICES, with_slice
+from touchline.operators.ordered import SLICES, with_slices
 
 
 def _present(cols: Sequence[str]) -> Column:
@@ -50,7 +50,7 @@ def group_percentiles(
     keys = list(keys)
     values = df.where(_present([*keys, col])).select(*keys, F.col(col).cast("double").alias("_x"))
     counts = values.groupBy(*keys, "_x").agg(F.count("*").alias("_n"))
-    counts = with_slice(counts, "_x", "_slice", slices, cuts_from=values)
+    counts = with_slices(counts, ["_x"], ["_slice"], slices, cuts_from=values)
     per_slice = counts.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_m"))
     in_key = Window.partitionBy(*keys)
     run = in_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
