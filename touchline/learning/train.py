@@ -146,9 +146,10 @@ def importances(model, names: Sequence[str]) -> list[tuple[str, float]]:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """At least as many partitions as there are cores, for tables that are read again and again."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """Even partitions, for training rows that are cached and read by every fit."""
+    spark = df.sparkSession
+    cores, shuffle = spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(cores, shuffle))
 
 
 def train_regressors(

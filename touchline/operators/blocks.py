@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.session import stage
+
 
 def _block_count(df: DataFrame, rows: int) -> int:
     return max(1, math.ceil(df.count() / rows))
@@ -30,8 +32,10 @@ def blockwise(
     """Apply ``combine`` to each pair of blocks; the block columns are dropped first.
 
     The rows should be distinct, as equal rows hash to the same block. The number
-    of the right block comes back as ``block`` for merging in levels.
+    of the right block comes back as ``block`` for merging in levels. Both tables
+    are written first: they are counted, to set the number of blocks, and read.
     """
+    left, right = stage(left, "left-blocks"), stage(right, "right-blocks")
     nl, nr = _block_count(left, left_rows), _block_count(right, right_rows)
 
     def cut(df, own, n_own, other, n_other):

@@ -75,8 +75,12 @@ def stable_draw(seed: int, *ids: Column) -> Column:
 
 
 def keep_known(df: DataFrame, key: str, other: DataFrame, other_key: str | None = None) -> DataFrame:
-    """Rows whose key occurs in the other table (semi-join)."""
-    ids = other.select(F.col(other_key or key).alias(key))
+    """Rows whose key occurs in the other table (semi-join).
+
+    The other side shrinks to distinct keys before it is shuffled; the join then
+    reuses that partitioning.
+    """
+    ids = other.select(F.col(other_key or key).alias(key)).distinct()
     return df.join(ids, key, "left_semi")
 
 
