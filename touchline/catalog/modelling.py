@@ -4,8 +4,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from touchline.catalog.aggregates import _case
-from touchline.catalog.base import games, players, query, r6, rounded
-from touchline.functions import formation_digits, formation_lenient, rule_strategy
+from touchline.catalog.base import games, query, rounded
+from touchline.functions import formation_digits, rule_strategy
 from touchline.learning.cluster import (
     LINES,
     STRATEGIES_BALANCED,

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from touchline.catalog.base import competitions, games, linked, players, query, rounded, table
+from touchline.catalog.base import competitions, games, linked, query, rounded, table
 from touchline.functions import rule_strategy
 from touchline.operators.charts import (
     box_stats,

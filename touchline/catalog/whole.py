@@ -1,6 +1,5 @@
 """The preparation plan end to end."""
 
-from pyspark.sql import functions as F
 
 from touchline.catalog.base import linked, query, rounded
 from touchline.catalog.cleaning import MONEY_SQL

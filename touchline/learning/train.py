@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from touchline.operators.relational import stable_draw
 
 SEED = 42
+ROWS_PER_TASK = 10_000
 
 
 # --- splitting --------------------------------------------------------------
@@ -146,10 +147,14 @@ def importances(model, names: Sequence[str]) -> list[tuple[str, float]]:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Even partitions, for training rows that are cached and read by every fit."""
+    """Even partitions for training rows, which are cached and read by every fit.
+
+    As many as the cluster shuffles into, but none so small that starting its
+    task costs more than its work.
+    """
     spark = df.sparkSession
-    cores, shuffle = spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(cores, shuffle))
+    most = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(min(most, 1 + df.count() // ROWS_PER_TASK))
 
 
 def train_regressors(
