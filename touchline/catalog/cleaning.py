@@ -21,6 +21,7 @@ from touchline.functions import (
     replace_value,
     to_number,
 )
+from touchline.functions.text import PLAIN_LETTERS
 from touchline.operators.relational import side_join
 from touchline.learning.rules import basket
 
@@ -156,12 +157,21 @@ def casts_and_replace(spark, sf):
     )
 
 
-@query("fold_accents")
+def _plain_sql(col: str) -> str:
+    one = {k: v for k, v in PLAIN_LETTERS.items() if len(v) == 1}
+    text = f"translate({col}, '{''.join(one)}', '{''.join(one.values())}')"
+    for letter, plain in PLAIN_LETTERS.items():
+        if len(plain) > 1:
+            text = f"replace({text}, '{letter}', '{plain}')"
+    return f"regexp_replace(strip_accents({text}), '[^\\x00-\\x7F]', '', 'g')"
+
+
+@query("fold_accents", f"SELECT player_id, {_plain_sql('country_of_citizenship')} AS country FROM players")
 def accents(spark, sf):
     return players(spark, sf).select("player_id", fold_accents(F.col("country_of_citizenship")).alias("country"))
 
 
-@query("fold_accents_documents")
+@query("fold_accents_documents", f"SELECT doc_id, {_plain_sql('text')} AS plain FROM documents", linked_tables=False)
 def accents_documents(spark, sf):
     return table(spark, sf, "documents").select("doc_id", fold_accents(F.col("text")).alias("plain"))
 

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from touchline.catalog.aggregates import _case
 from touchline.catalog.base import competitions, games, linked, query, rounded, table
 from touchline.functions import rule_strategy
 from touchline.operators.charts import (
@@ -264,7 +265,11 @@ def scatter(spark, sf):
     return scatter_sample(games(spark, sf), "attendance", "home_club_goals", 0.05)
 
 
-@query("goals_by_strategy_box", None)
+@query(
+    "goals_by_strategy_box",
+    f"WITH s AS (SELECT {_case('home', 'home_club_formation')} AS strategy_home, home_club_goals FROM games), "
+    + BOX_SQL.format(key="strategy_home", x="home_club_goals", t="s").strip().removeprefix("WITH "),
+)
 def goals_box(spark, sf):
     g = games(spark, sf).withColumn("strategy_home", rule_strategy(F.col("home_club_formation"), "home"))
-    return box_stats(g, ["strategy_home"], "home_club_goals")
+    return rounded(box_stats(g, ["strategy_home"], "home_club_goals"), *BOX_COLS)
