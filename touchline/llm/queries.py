@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, chat
+from touchline.llm import bpe, chat, quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -81,3 +81,9 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(length(written) + CASE WHEN opens THEN 24 + length(role) ELSE 11 END) AS BIGINT) AS formatted_chars
 FROM o GROUP BY conv_id
 """
+
+
+@query
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")

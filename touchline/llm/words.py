@@ -72,13 +72,16 @@ class Words:
         return self.bytes_[self.start[i] : self.end[i]].tobytes()
 
     def fingerprints(self, lane: int = 0) -> np.ndarray:
-        base = _odd(lane, 0)
-        n = len(self.bytes_)
-        total = np.zeros(n + 1, U64)
-        np.cumsum(_TABLES[lane][self.bytes_] * _powers(base, n), out=total[1:])
-        back = _powers(_inverse(base), n + 1)
-        out = (total[self.end] - total[self.start]) * back[self.start]
-        return mix(out ^ (self.end - self.start).astype(U64))
+        return fingerprints_between(self.bytes_, self.start, self.end, lane)
+
+
+def fingerprints_between(data: np.ndarray, start: np.ndarray, end: np.ndarray, lane: int = 0) -> np.ndarray:
+    """Fingerprints of the bytes from each start to its end."""
+    base, n = _odd(lane, 0), len(data)
+    total = np.zeros(n + 1, U64)
+    np.cumsum(_TABLES[lane][data] * _powers(base, n), out=total[1:])
+    out = (total[end] - total[start]) * _powers(_inverse(base), n + 1)[start]
+    return mix(out ^ (end - start).astype(U64))
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
