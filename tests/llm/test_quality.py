@@ -35,13 +35,11 @@ def test_estimate_finds_the_accuracies_of_made_votes():
     assert all(abs(a - b) < 0.02 for a, b in zip(found.accuracy, accuracy, strict=True))
 
 
-PROSE = "the cat sat on a mat, and it was happy with all of its {} friends in the old house by the river. "
-
-
 def test_judges_prose_and_junk(spark):
-    prose = " ".join(PROSE.format(w) for w in "green quick small brown noisy tired clever silly".split())
-    prose = " ".join(f"{w}{i}" if len(w) > 4 else w for i, w in enumerate(prose.split()))
-    rows = [(i, prose.replace("cat", f"cat{i}"), "x") for i in range(40)]
+    rng = random.Random(5)
+    plain, common = "river garden morning letter window summer island people market winter".split(), "the of and to in is was with for a".split()
+    prose = " ".join(rng.choice(common if rng.random() < 0.4 else plain) for _ in range(200))
+    rows = [(i, f"{prose} number {i}", "x") for i in range(40)]
     rows += [(100, " ".join(f"{w}$$$" for w in prose.split()), "x"), (101, " | ".join(w for w in prose.split() if len(w) > 4), "x")]
     rows += [(102, " ".join(f"{w}!!".upper() for w in prose.split()), "x"), (103, None, "x"), (104, "", "x"), (None, prose, "x"), (None, prose, "x")]
     got = judge(spark.createDataFrame(rows, "doc_id long, text string, kept string"))
