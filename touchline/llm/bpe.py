@@ -11,6 +11,7 @@ Rows stay where they are: no shuffle, and a row's ids depend on that row alone.
 
 from __future__ import annotations
 
+import array
 import functools
 import json
 import re
@@ -30,7 +31,7 @@ END = "</w>"
 #: Stands for END behind the last byte of a pre-token; not one of the 256 characters that stand for bytes.
 MARK = "\x00"
 #: Entries that a worker remembers of each kind; beyond that it starts anew. Memory only, never results.
-REMEMBERED = 200_000
+REMEMBERED = 400_000
 
 
 def byte_characters() -> dict[int, str]:
@@ -79,9 +80,11 @@ class WordBPE:
             raise ValueError("this is not a BPE vocabulary with word ends and plain decoding")
         vocab: dict[str, int] = model["vocab"]
         self.tokens = {i: t for t, i in vocab.items()}
-        self.special = {a["content"]: a["id"] for a in spec["added_tokens"]}
-        self.tokens |= {i: t for t, i in self.special.items()}
-        self.special_pattern = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or r"(?!)")
+        special = {a["content"]: a["id"] for a in spec["added_tokens"]}
+        self.tokens |= {i: t for t, i in special.items()}
+        self.token_bytes = {i: t.encode() for i, t in self.tokens.items()}
+        self.special = {t: (array.array("i", [i]).tobytes(), t.encode()) for t, i in special.items()}
+        self.special_pattern = re.compile("|".join(map(re.escape, sorted(special, key=len, reverse=True))) or r"(?!)")
         split = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.pattern = regex.compile(split)
         self.newer, self.capitals = newer_letters(), newer_capitals()
@@ -105,16 +108,14 @@ class WordBPE:
                 self.matches.add_word(marked, (i, len(marked)))
         self.matches.make_automaton()
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.words: dict[bytes, tuple[bytes, bytes]] = {}
         self.chunks: dict[bytes, tuple[bytes, bytes]] = {}
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether merging the joined texts of a and b gives a and b."""
-        known = self.pairs.get((a, b))
-        if known is None:
-            if len(self.pairs) >= REMEMBERED:
-                self.pairs.clear()
-            known = self.pairs[a, b] = self._compatible(a, b)
+        if len(self.pairs) >= 4 * REMEMBERED:
+            self.pairs.clear()
+        known = self.pairs[a, b] = self._compatible(a, b)
         return known
 
     def _compatible(self, left: int, right: int) -> bool:
@@ -133,32 +134,48 @@ class WordBPE:
             else:
                 right, before = self.parts[right][0], of_right + 1
 
-    def word(self, pre_token: str) -> tuple[int, ...]:
-        """Ids of one normalised pre-token."""
+    def last_tokens(self, text: str) -> tuple[list[int], list[int]]:
+        """For each prefix of a marked pre-token its unique last token, or -1, and where that token begins."""
+        last, back = [-1] * (len(text) + 1), [0] * (len(text) + 1)
+        pairs, compatible = self.pairs.get, self.compatible
+        for at, (token, length) in self.matches.iter(text):
+            if last[at + 1] >= 0:
+                continue
+            begin = at + 1 - length
+            if begin:
+                before = last[begin]
+                if before < 0:
+                    continue
+                fits = pairs((before, token))
+                if not (compatible(before, token) if fits is None else fits):
+                    continue
+            last[at + 1], back[at + 1] = token, begin
+        return last, back
+
+    def word(self, pre_token: bytes) -> tuple[bytes, bytes]:
+        """Ids of one normalised pre-token, as 32-bit numbers, and its tokens joined by spaces."""
         known = self.words.get(pre_token)
         if known is not None:
             return known
-        text = "".join(map(self.characters.__getitem__, pre_token.encode())) + MARK
-        last: list[int] = [-1] * (len(text) + 1)
-        back: list[int] = [0] * (len(text) + 1)
-        for at, (token, length) in self.matches.iter(text):
-            end = at + 1
-            begin = end - length
-            if last[end] < 0 and (begin == 0 or last[begin] >= 0 and self.compatible(last[begin], token)):
-                last[end], back[end] = token, begin
+        if pre_token.isalnum():  # only ASCII letters and digits, which stand for themselves
+            text = pre_token.decode() + MARK
+        else:
+            text = "".join(map(self.characters.__getitem__, pre_token)) + MARK
+        last, back = self.last_tokens(text)
         ids, end = [], len(text)
         while end:
             ids.append(last[end])
             end = back[end]
-        found = tuple(reversed(ids))
+        ids.reverse()
+        found = array.array("i", ids).tobytes(), b" ".join(map(self.token_bytes.__getitem__, ids))
         if len(self.words) >= REMEMBERED:
             self.words.clear()
         if len(pre_token) <= 64:
             self.words[pre_token] = found
         return found
 
-    def plain(self, text: str) -> list[int]:
-        """Ids of text without special tokens."""
+    def plain(self, text: str) -> list[tuple[bytes, bytes]]:
+        """Ids and tokens of the pre-tokens of text without special tokens."""
         if not text.isascii():
             # letter by letter, so that a capital sigma gives the same small one wherever it stands
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ").translate(self.capitals)
@@ -168,18 +185,22 @@ class WordBPE:
             away = {ord(c): chr(PRIVATE + i) for i, c in enumerate(sorted(there))}
             back = {ord(v): chr(k) for k, v in away.items()}
             words = [w.translate(back) for w in self.pattern.findall(text.translate(away))]
-        return [i for word in words for i in self.word(word)]
+        return [self.word(w.encode()) for w in words]
 
     def chunk(self, raw: bytes) -> tuple[bytes, bytes]:
-        """Ids, as 32-bit numbers, and tokens, joined by spaces, of text without ASCII white space."""
+        """Ids and tokens of text without ASCII white space."""
+        if raw.isalpha():  # one word of ASCII letters
+            return self.remember(raw, self.word(raw.lower()))
         text = raw.decode()
-        ids, at = [], 0
+        parts, at = [], 0
         for m in self.special_pattern.finditer(text) if "<" in text else ():
-            ids += self.plain(text[at : m.start()])
-            ids.append(self.special[m[0]])
+            parts += self.plain(text[at : m.start()])
+            parts.append(self.special[m[0]])
             at = m.end()
-        ids += self.plain(text[at:])
-        found = np.array(ids, np.int32).tobytes(), " ".join(map(self.tokens.__getitem__, ids)).encode()
+        parts += self.plain(text[at:])
+        return self.remember(raw, (b"".join([ids for ids, _ in parts]), b" ".join([tokens for _, tokens in parts])))
+
+    def remember(self, raw: bytes, found: tuple[bytes, bytes]) -> tuple[bytes, bytes]:
         if len(raw) <= 64:
             if len(self.chunks) >= REMEMBERED:
                 self.chunks.clear()
