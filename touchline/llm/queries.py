@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, chat, quality
+from touchline.llm import bpe, chat, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,3 +87,37 @@ FROM o GROUP BY conv_id
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(table(spark, sf_dir, "documents"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "posterior")
+
+
+#: The rules of the query, and listed sites without a rule.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+LISTED_SITES = ("ads-track.example.com/", "casino-win.example.com/", "cheap-pills.example.com/", "free-bets.example.com/")
+
+
+@query
+def op5_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = [(e, v, 1) for e, v in URL_RULES.items()] + [(e, "block", 0) for e in LISTED_SITES]
+    judged = urls.judge_urls(table(spark, sf_dir, "pages"), spark.createDataFrame(listed, "entry string, verdict string, rank int"))
+    rule = F.when(F.col("entry").isin(*URL_RULES), F.col("entry"))
+    return judged.select("page_id", "host", "path", rule.alias("rule"), F.coalesce("verdict", F.lit("allow")).alias("verdict"))
+
+
+ORACLE["op5_urls"] = r"""
+WITH p AS (
+  SELECT page_id, regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1) AS written, regexp_extract(coalesce(url, ''), '://[^/?#]*([^?#]*)', 1) AS path FROM pages
+), h AS (
+  SELECT page_id, path, translate(written, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host FROM p
+), r AS (
+  SELECT *, '.' || host AS dotted, CASE
+    WHEN ends_with('.' || host, '.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+    WHEN ends_with('.' || host, '.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+    WHEN ends_with('.' || host, '.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+    WHEN ends_with('.' || host, '.net') AND starts_with(path, '/') THEN 'net/' END AS rule FROM h
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('net/', 'example.com/de/') THEN 'block'
+    WHEN rule IS NULL AND starts_with(path, '/') AND (ends_with(dotted, '.ads-track.example.com') OR ends_with(dotted, '.casino-win.example.com')
+      OR ends_with(dotted, '.cheap-pills.example.com') OR ends_with(dotted, '.free-bets.example.com')) THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM r
+"""
