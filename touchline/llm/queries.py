@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from touchline.llm import bpe, chat, decontaminate, quality, urls
+from touchline.llm import bpe, chat, decontaminate, near, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -130,8 +130,8 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op6_decontaminate"] = r"""
 WITH w AS (
-  SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') AS ws FROM documents
-  UNION ALL SELECT 'i', item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') FROM benchmark
+  SELECT 'd' AS kind, doc_id AS id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS ws FROM documents
+  UNION ALL SELECT 'i', item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') FROM benchmark
 ), s AS (
   SELECT DISTINCT kind, id, array_to_string(ws[k : k + 4], ' ') AS shingle, least(len(ws), 5) AS n
   FROM w, unnest(range(1, greatest(len(ws) - 3, 2))) AS u(k) WHERE len(ws) > 0
@@ -140,3 +140,8 @@ SELECT d.id AS doc_id, i.id AS item_id, n_item, count(*) AS n_shared
 FROM s d JOIN s i ON d.kind = 'd' AND i.kind = 'i' AND d.shingle = i.shingle AND d.n = i.n JOIN q ON q.item_id = i.id
 GROUP BY d.id, i.id, n_item HAVING count(*) >= 0.8 * n_item
 """
+
+
+@query
+def op2_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(table(spark, sf_dir, "documents"), size=2)
