@@ -4,19 +4,19 @@ import numpy as np
 import pytest
 
 from touchline.llm.bpe import WordBPE, encode
-from touchline.llm.queries import tokenizer_path
+from corpus_pipeline import TOKENIZER
 
 
 @pytest.fixture(scope="module")
 def bpe():
-    return WordBPE(tokenizer_path())
+    return WordBPE(TOKENIZER)
 
 
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(tokenizer_path())
+    return Tokenizer.from_file(TOKENIZER)
 
 
 def same(bpe, library, text):
@@ -59,6 +59,6 @@ def test_equals_the_library_on_every_character(bpe, library):
 
 def test_rows_nulls_repeats_and_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "the cat", 5), (1, "the cat", 5), (2, None, 6), (3, "", 7), (None, "x", 8)], "doc_id long, text string, ids int")
-    got = encode(docs, tokenizer_path()).collect()
+    got = encode(docs, TOKENIZER).collect()
     assert sorted((r.doc_id or 0, len(r.ids), r.decoded) for r in got) == [(0, 1, "x</w>"), (1, 2, "the</w> cat</w>"), (1, 2, "the</w> cat</w>"), (2, 0, ""), (3, 0, "")]
-    assert encode(docs.limit(0), tokenizer_path()).count() == 0
+    assert encode(docs.limit(0), TOKENIZER).count() == 0

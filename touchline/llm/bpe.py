@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.llm.words import pieces
@@ -245,6 +246,17 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
     return source.mapInArrow(run, made).withColumnRenamed("id", id_column)
 
 
+def digests(docs: DataFrame, path: str, id_column: str = "doc_id") -> DataFrame:
+    """id_column, `n_tokens`, `ids_sha256` (of the decimal ids joined by a space), `decoded_sha256` and `ids`."""
+    return encode(docs, path, id_column).select(
+        id_column,
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " ").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        "ids",
+    )
+
+
 def decode(path: str, ids: list[int]) -> str:
     """The text of ids, as `encode` returns it."""
     tokens = vocabulary(path).tokens

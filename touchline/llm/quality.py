@@ -99,18 +99,18 @@ def measure(texts: pa.Array) -> dict[str, np.ndarray]:
     return out
 
 
-def measures(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id_column and the MEASURES of each row (long)."""
-    source = docs.select(docs[id_column].alias("id"), docs[text_column].cast("string").alias("text"))
-    made = T.StructType([source.schema["id"], *(T.StructField(m, T.LongType()) for m in MEASURES)])
+def measures(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """`row`, a struct of all columns of docs, and the MEASURES of each row (long)."""
+    source = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text_column].cast("string").alias("text"))
+    made = T.StructType([source.schema["row"], *(T.StructField(m, T.LongType()) for m in MEASURES)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch):
                 found = measure(part.column("text"))
-                yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(found[m].astype(np.int64)) for m in MEASURES)], names=["id", *MEASURES])
+                yield pa.RecordBatch.from_arrays([part.column("row"), *(pa.array(found[m].astype(np.int64)) for m in MEASURES)], names=["row", *MEASURES])
 
-    return source.mapInArrow(run, made).withColumnRenamed("id", id_column)
+    return source.mapInArrow(run, made)
 
 
 @dataclass(frozen=True)
@@ -186,22 +186,32 @@ def estimate(counts: dict[tuple[int, ...], int], rules: int, rounds: int = 500,
     return now
 
 
+def _judged(docs: DataFrame, text_column: str, threshold: float, rules: tuple[Rule, ...]) -> DataFrame:
+    """`row`, the MEASURES, votes, posterior, base_failed and kept."""
+    if len(rules) > 12:
+        raise ValueError("more than 12 rules make more patterns than one table should hold")
+    votes = F.array(*(r.vote() for r in rules)).alias("votes")
+    patterns = measures(docs.select(docs[text_column].alias("text"))).select(votes).groupBy("votes").agg(F.count("*").alias("n"))
+    counts = {tuple(r["votes"]): r["n"] for r in patterns.collect()}
+    found = estimate(counts, len(rules))
+    table = docs.sparkSession.createDataFrame([(list(v), found.posterior(v)) for v in counts], "votes array<int>, posterior double")
+    judged = measures(docs, text_column).select("*", votes).join(F.broadcast(table), "votes")
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select("row", *MEASURES, "votes", "posterior", failed.alias("base_failed"), (~failed & (F.col("posterior") >= threshold)).alias("kept"))
+
+
 def judge(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", threshold: float = 0.5, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """id_column, the MEASURES, `votes` (array of int, in the order of rules), `posterior` and `base_failed`, `kept`.
 
     base_failed: fewer than 50 words, or more than half of the words in repeated 3-word windows. kept: not base_failed
     and posterior >= threshold. A null or empty text has no words, so it fails. Repeated rows are judged alike and each
-    counts; an empty table gives no row; other columns of docs don't matter. The patterns of votes, at most
+    counts; an empty table gives no row; other columns don't matter. The patterns of votes, at most
     3 ** len(rules), are the only thing that reaches the driver.
     """
-    if len(rules) > 12:
-        raise ValueError("more than 12 rules make more patterns than one table should hold")
-    voted = measures(docs, id_column, text_column).withColumn("votes", F.array(*(r.vote() for r in rules)))
-    counts = {tuple(r["votes"]): r["n"] for r in voted.groupBy("votes").agg(F.count("*").alias("n")).collect()}
-    found = estimate(counts, len(rules))
-    spark = docs.sparkSession
-    schema = "votes array<int>, posterior double"
-    table = spark.createDataFrame([(list(v), found.posterior(v)) for v in counts], schema)
-    judged = voted.join(F.broadcast(table), "votes")
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return judged.select(id_column, *MEASURES, "votes", "posterior", failed.alias("base_failed"), (~failed & (F.col("posterior") >= threshold)).alias("kept"))
+    judged = _judged(docs.select(docs[id_column].alias("id"), docs[text_column].alias("text")), "text", threshold, rules)
+    return judged.select(F.col("row.id").alias(id_column), *MEASURES, "votes", "posterior", "base_failed", "kept")
+
+
+def drop_bad(docs: DataFrame, text_column: str = "text", threshold: float = 0.5, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The rows of docs that `judge` keeps, with all their columns; no text is shuffled."""
+    return _judged(docs, text_column, threshold, rules).where("kept").select("row.*")

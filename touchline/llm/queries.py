@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from touchline.llm import bpe, chat, decontaminate, near, pii, quality, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,25 +24,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
-def bpe_digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of what the encoder returns."""
-    return bpe.encode(docs, tokenizer_path()).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
-    )
+@query
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), corpus_pipeline.TOKENIZER).drop("ids")
 
 
 @query
-def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_digests(table(spark, sf_dir, "documents"))
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
 
 
 #: One more conversation, whose texts hold control strings.
