@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from touchline.llm import bpe, chat, decontaminate, near, pii, quality, urls
+from touchline.llm import bpe, chat, decontaminate, near, pii, quality, repeats, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -144,3 +144,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])), ",")
     counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in pii.BASE]
     return found.select("doc_id", *counts, F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written("spans").alias("spans"))
+
+
+@query
+def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = repeats.drop_repeats(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
