@@ -28,9 +28,13 @@ def words(text: Column) -> Column:
 
 def shingles(text: Column) -> Column:
     """Distinct runs of five words; the whole sequence where there are fewer, none without words."""
-    w = words(text)
-    runs = F.transform(F.sequence(F.lit(1), F.size(w) - (SHINGLE - 1)), lambda i: F.array_join(F.slice(w, i, SHINGLE), " "))
-    return F.when(F.size(w) == 0, F.array().cast("array<string>")).when(F.size(w) < SHINGLE, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(runs))
+
+    def of(w: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(1), F.size(w) - (SHINGLE - 1)), lambda i: F.array_join(F.slice(w, i, SHINGLE), " "))
+        return F.when(F.size(w) == 0, F.array().cast("array<string>")).when(F.size(w) < SHINGLE, F.array(F.array_join(w, " "))).otherwise(F.array_distinct(runs))
+
+    # bound to a variable, as an expression that a lambda holds is worked out again for each element
+    return F.get(F.transform(F.array(words(text)), of), F.lit(0))
 
 
 def _hashes(hashed_words: str) -> Column:
