@@ -124,12 +124,13 @@ def ask(blocks: DataFrame, emit: Callable, columns: tuple[str, ...], joined: tup
     return blocks.select("block", "ids", "bounds", "data", *joined).mapInArrow(run, schema)
 
 
-def answer(asked: DataFrame, reply: Callable, columns: tuple[str, ...], extra: str = "") -> DataFrame:
+def answer(asked: DataFrame, reply: Callable, columns: tuple[str, ...], sums: tuple[str, ...] = ()) -> DataFrame:
     """What groups send back: reply(values of each column, a list each) gives one binary a row, in their order.
 
-    With `extra`, the name of a long column, it gives a second list with a number for each row.
+    With `sums`, names of long columns, it also gives one number for each of them, which stands in the group's first
+    row; the other rows have 0.
     """
-    schema = "block long, grp long, reply binary" + (f", {extra} long" if extra else "")
+    schema = "block long, grp long, reply binary" + "".join(f", {s} long" for s in sums)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -141,8 +142,9 @@ def answer(asked: DataFrame, reply: Callable, columns: tuple[str, ...], extra: s
             _, owners, *values = zip(*same, strict=True)
             replies = reply(*map(list, values))
             arrays = [pa.array(owners, pa.int64()), pa.array([group] * len(owners), pa.int64())]
-            arrays += [pa.array(replies[0], pa.binary()), pa.array(replies[1], pa.int64())] if extra else [pa.array(replies, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["block", "grp", "reply", *([extra] if extra else [])])
+            replies, numbers = replies if sums else (replies, ())
+            arrays += [pa.array(replies, pa.binary()), *(pa.array([n] + [0] * (len(owners) - 1), pa.int64()) for n in numbers)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["block", "grp", "reply", *sums])
 
     return asked.repartition("grp").sortWithinPartitions("grp").mapInArrow(run, schema)
 

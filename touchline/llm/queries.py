@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from touchline.llm import bpe, chat, decontaminate, near, pii, quality, repeats, urls
+from touchline.llm import bpe, chat, decontaminate, lm, near, pii, quality, repeats, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,3 +150,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = repeats.drop_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
