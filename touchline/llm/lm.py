@@ -28,7 +28,7 @@ from touchline.session import stage
 
 END, START = U64(0x9E3779B97F4A7C15), U64(0xD1B54A32D192ED03)
 #: Strength of the Dirichlet prior in counts.
-PRIOR = 200.0
+PRIOR = 500.0
 
 
 def held_out(ids: np.ndarray, parts: int = 7, part: int = 2) -> np.ndarray:
