@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from touchline.llm import bpe, chat, decontaminate, lm, near, pii, quality, repeats, urls
+from touchline.llm import bpe, chat, decontaminate, html, lm, near, pii, quality, repeats, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -155,3 +155,9 @@ def op1_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html.main_text(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
