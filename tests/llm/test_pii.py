@@ -1,3 +1,4 @@
+import hashlib
 import random
 import re
 
@@ -32,8 +33,6 @@ def test_base_spans_equal_brute_force(spark):
 
 
 def test_classifier_adds_secrets_and_people_and_redacts(spark):
-    import hashlib
-
     texts = [f'plain words here {i} token = "{hashlib.sha1(str(i).encode()).hexdigest()}" and so on' for i in range(30)]
     texts += ["dear Mr. John Smith we wrote", "justalongwordofmanylettersanditgoesonandon here", None, "4111 1111 1111 1112 fails"]
     frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
@@ -43,3 +42,15 @@ def test_classifier_adds_secrets_and_people_and_redacts(spark):
     out = {r.doc_id: r.text for r in redact(frame).collect()}
     assert out[3] == 'plain words here 3 token = "<SECRET>" and so on' and out[30] == "dear <PERSON> we wrote" and out[32] is None and out[33] == texts[33]
     assert redact(frame.limit(0)).count() == 0 and redact(frame).columns == frame.columns
+
+
+def test_query_counts_and_digest(spark, tmp_path):
+    from touchline.llm.queries import op10_pii
+
+    texts = [None, "", "mail a.b@c.de or 10.0.0.1 now", "call +49 30 1234567 and card 4111 1111 1111 1111", "a@b.c a@b.c 1.2.3.4"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in op10_pii(spark, str(tmp_path)).collect():
+        base = brute(texts[r.doc_id])
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == kind for k, *_ in base) for kind in BASE)
+        written = ",".join(f"{k}:{b}:{e}" for k, b, e in base)
+        assert r.base_sha256 == hashlib.sha256(written.encode()).hexdigest()

@@ -142,7 +142,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "spans")
     base = F.filter("spans", lambda s: s["base"])
     written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])), ",")
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}") for k in pii.BASE]
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+    counts = [count(k).alias(f"n_{k}") for k in pii.BASE]
     return found.select("doc_id", *counts, F.sha2(written(base).cast("binary"), 256).alias("base_sha256"), written("spans").alias("spans"))
 
 
