@@ -30,6 +30,14 @@ def test_nan_text_becomes_null(spark, tmp_path):
     assert [tuple(r) for r in load_table(spark, str(tmp_path), "players", "csv").orderBy("player_id").collect()] == [(1, None), (2, 180.0)]
 
 
+def test_cells_that_a_type_cannot_hold(spark, tmp_path):
+    (tmp_path / "games.csv").write_text("game_id,attendance\n1,52000.0\n2,None\n3,7.5\n")
+    read = lambda strict: load_table(spark, str(tmp_path), "games", "csv", strict).orderBy("game_id").collect()
+    assert [tuple(r) for r in read(False)] == [(1, 52000), (2, None), (3, None)]
+    with pytest.raises(Exception, match="attendance can't hold 7.5"):
+        read(True)
+
+
 def test_round_trips(spark, tmp_path):
     df = spark.createDataFrame([(1, "a", 2019), (2, None, 2020)], "id int, s string, year int")
     write_csv(df, str(tmp_path / "c"))

@@ -107,10 +107,10 @@ def feature_table(spark, sf):
 @query("match_models")
 def match_models(spark, sf):
     """Preparation, features and the tuned models of both targets, end to end."""
-    table = stage(features(_cleaned(spark, sf, SETTINGS)).na.drop("any"), "features")
+    table = stage(features(_cleaned(spark, sf, SETTINGS)), "features")
     train, test = stable_split(table, ["date", "home_id", "away_id", "goals_home", "goals_away"])
     results = {}
     for target in ("goals_home", "goals_away"):
         numeric, categorical = model_columns(table, target)
-        results[target] = train_regressors(train, test, target, numeric, categorical)
+        results[target] = train_regressors(train, test, target, numeric, categorical, impute=True)
     return metrics_table(spark, results)

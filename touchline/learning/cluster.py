@@ -25,19 +25,24 @@ STRATEGIES_BALANCED = ("Defensive", "Balanced", "Aggressive")
 
 
 def standardised(df: DataFrame, cols: Sequence[str], weight: str | None = None) -> DataFrame:
-    """Columns centred and divided by the population deviation, rows counted by weight."""
-    w = F.col(weight) if weight else F.lit(1)
-    sums = [F.sum(w).alias("n")]
+    """Columns centred and divided by the population deviation, rows counted by weight; NULL stays NULL.
+
+    The mean comes first and the squares are those of the gaps to it, so that large values lose no digits.
+    """
+    out = df
     for c in cols:
         x = F.col(c).cast("double")
-        sums += [F.sum(x * w).alias(f"s_{c}"), F.sum(x * x * w).alias(f"q_{c}")]
-    m = df.agg(*sums).select(F.struct("*").alias("m")).scalar()
-    out = df.withColumn("_m", m)
-    for c in cols:
-        mean = F.col(f"_m.s_{c}") / F.col("_m.n")
-        dev = F.sqrt(F.greatest(F.col(f"_m.q_{c}") / F.col("_m.n") - mean * mean, F.lit(0.0)))
-        out = out.withColumn(c, F.coalesce(F.try_divide(F.col(c) - mean, dev), F.lit(0.0)))
-    return out.drop("_m")
+        if weight is None:
+            known = df.agg(F.struct(F.avg(x).alias("mean"), F.stddev_pop(x).alias("dev"))).scalar()
+            mean, dev = known["mean"], known["dev"]
+        else:
+            w = F.when(x.isNotNull(), F.col(weight))
+            mean = df.agg(F.sum(x * w) / F.sum(w)).scalar()
+            gaps = df.withColumn("_gap", x - mean)
+            dev = gaps.agg(F.sqrt(F.sum(F.col("_gap") * F.col("_gap") * w) / F.sum(w))).scalar()
+        gap = x - mean
+        out = out.withColumn(c, F.when(gap.isNotNull(), F.coalesce(F.try_divide(gap, dev), F.lit(0.0))))
+    return out
 
 
 def mllib_standardised(df: DataFrame, cols: Sequence[str], out: str = "scaled") -> DataFrame:

@@ -58,7 +58,8 @@ def feature_pipeline(
 
     Everything is learnt by ``fit`` on the training rows. Categories not seen
     there share one extra slot. ``impute`` adds a median imputer for the numbers
-    and ``scale`` standardises them.
+    and ``scale`` standardises them. Without ``impute`` a NULL number is an error,
+    as a row must not vanish from a fit or a score.
     """
     stages: list = []
     numbers = list(numeric)
@@ -67,7 +68,7 @@ def feature_pipeline(
         stages.append(Imputer(strategy="median", inputCols=numbers, outputCols=filled))
         numbers = filled
     if scale and numbers:
-        stages.append(VectorAssembler(inputCols=numbers, outputCol="numbers", handleInvalid="skip"))
+        stages.append(VectorAssembler(inputCols=numbers, outputCol="numbers", handleInvalid="error"))
         stages.append(StandardScaler(inputCol="numbers", outputCol="scaled", withMean=True))
         numbers = ["scaled"]
     if categorical:
@@ -78,7 +79,7 @@ def feature_pipeline(
         )
         stages.append(OneHotEncoder(inputCols=index, outputCols=vectors))
         numbers = numbers + vectors
-    stages.append(VectorAssembler(inputCols=numbers, outputCol="features", handleInvalid="skip"))
+    stages.append(VectorAssembler(inputCols=numbers, outputCol="features", handleInvalid="error"))
     return Pipeline(stages=stages)
 
 
@@ -111,7 +112,7 @@ def regression_grids(seed: int = SEED) -> dict:
 
 
 def gradient_boosted(seed: int = SEED) -> dict:
-    return {"GradientBoosted": (GBTRegressor(seed=seed, maxIter=10), ParamGridBuilder().build())}
+    return {"GradientBoosted": (GBTRegressor(seed=seed), ParamGridBuilder().build())}
 
 
 @dataclass
@@ -167,23 +168,30 @@ def train_regressors(
     folds: int = 3,
     parallelism: int = 8,
     seed: int = SEED,
+    impute: bool = False,
 ) -> list[Fitted]:
     """Tune each regressor by cross-validation on RMSE and score it on the test rows.
 
-    The features are assembled once per target and cached for all fits.
+    The features are assembled once per target and cached for all fits. A grid of
+    one entry is fitted with it; choosing among several needs at least two folds.
     """
-    prepared: PipelineModel = feature_pipeline(numeric, categorical).fit(train)
+    if folds < 2 and any(len(grid) > 1 for _, grid in (grids or regression_grids(seed)).values()):
+        raise ValueError("choosing among several settings needs at least two folds")
+    prepared: PipelineModel = feature_pipeline(numeric, categorical, impute=impute).fit(train)
     cols = ["features", F.col(label).cast("double").alias("label")]
     fit_on = spread(prepared.transform(train).where(F.col(label).isNotNull()).select(*cols)).persist()
     score_on = prepared.transform(test).where(F.col(label).isNotNull()).select(*cols).persist()
     names = slot_names(fit_on)
     fitted = []
     for name, (estimator, grid) in (grids or regression_grids(seed)).items():
-        search = CrossValidator(
-            estimator=estimator, estimatorParamMaps=grid, evaluator=RegressionEvaluator(metricName="rmse"),
-            numFolds=folds, parallelism=parallelism, seed=seed,
-        )
-        model = search.fit(fit_on).bestModel if folds > 1 and len(grid) > 1 else estimator.fit(fit_on)
+        if len(grid) > 1:
+            search = CrossValidator(
+                estimator=estimator, estimatorParamMaps=grid, evaluator=RegressionEvaluator(metricName="rmse"),
+                numFolds=folds, parallelism=parallelism, seed=seed,
+            )
+            model = search.fit(fit_on).bestModel
+        else:
+            model = estimator.fit(fit_on, grid[0] if grid else {})
         metrics = evaluate_regression(model.transform(score_on))
         fitted.append(Fitted(name, model, metrics, importances(model, names)))
     fit_on.unpersist()
@@ -269,7 +277,9 @@ def train_classifiers(
     train: DataFrame, test: DataFrame, label: str, numeric: Sequence[str], categorical: Sequence[str], seed: int = SEED
 ) -> DataFrame:
     """Four classifiers on a text label, scored on the test rows: one row per model."""
-    indexer = StringIndexer(inputCol=label, outputCol="label", handleInvalid="skip")
+    # a label that training never saw is a class of its own, which no model can hit; without a label there is nothing to score
+    train, test = train.where(F.col(label).isNotNull()), test.where(F.col(label).isNotNull())
+    indexer = StringIndexer(inputCol=label, outputCol="label", handleInvalid="keep")
     prepared = Pipeline(stages=[indexer, *feature_pipeline(numeric, categorical).getStages()]).fit(train)
     fit_on = spread(prepared.transform(train).select("features", "label")).persist()
     score_on = prepared.transform(test).select("features", "label").persist()
@@ -311,5 +321,6 @@ def runtime_by_fraction(
             own = [c for c in categorical if c not in drop]
             scores = [f.metrics["rmse"] for f in train_regressors(train, test, target, numeric, own, **options)]
             best = min([*scores, *([best] if best is not None else [])])
-        rows.append((float(fraction), part.count(), time.perf_counter() - start, float(best)))
+        seconds = time.perf_counter() - start
+        rows.append((float(fraction), part.count(), seconds, float(best)))
     return df.sparkSession.createDataFrame(rows, "fraction double, rows bigint, seconds double, rmse double")

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from touchline.sources.schemas import SCHEMAS
 
@@ -23,18 +24,36 @@ def _nan_to_null(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None)) for c in floats}) if floats else df
 
 
-def load_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
+#: Texts of a CSV cell that mean NULL.
+NULL_TEXTS = ("", "nan", "null", "none", "nat", "<na>")
+
+
+def _cell(name: str, kind: DataType, strict: bool) -> Column:
+    """A CSV cell under its declared type. Integers may be written as `52000.0`, as they are where a column has gaps."""
+    text = F.trim(F.col(name))
+    value = F.col(name).try_cast(kind)
+    if kind.typeName() in ("integer", "long", "short"):
+        number = text.try_cast("decimal(38,10)")
+        value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(kind)))
+    if strict and kind.typeName() != "string":
+        lost = value.isNull() & F.col(name).isNotNull() & ~F.lower(text).isin(*NULL_TEXTS)
+        value = F.when(lost, F.raise_error(F.concat(F.lit(f"column {name} can't hold "), text)).cast(kind)).otherwise(value)
+    return value.alias(name)
+
+
+def load_table(spark: SparkSession, root: str, name: str, fmt: str = "parquet", strict: bool = True) -> DataFrame:
     """One input table under its declared schema.
 
     A CSV scan maps columns by header name: only the declared columns that the
-    file holds are read, whatever their order, and NaN text becomes NULL.
+    file holds are read, whatever their order, and NaN text becomes NULL. A cell
+    that its type can't hold ends the scan, unless ``strict`` is off: then it is NULL.
     """
     if fmt == "parquet":
         return spark.read.parquet(f"{root}/{name}.parquet")
     path = f"{root}/{name}.csv"
     declared = {f.name: f.dataType for f in SCHEMAS[name].fields}
     header = spark.read.option("header", True).csv(path)
-    cols = [F.col(c).try_cast(declared[c]).alias(c) for c in header.columns if c in declared]
+    cols = [_cell(c, declared[c], strict) for c in header.columns if c in declared]
     return _nan_to_null(header.select(*cols))
 
 
