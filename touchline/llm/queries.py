@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from touchline.llm import bpe, chat, decontaminate, html, lm, near, pii, quality, repeats, urls
+from touchline.llm import bpe, chat, collocations, decontaminate, html, lm, near, pii, quality, repeats, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -162,3 +162,34 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = html.main_text(table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS ws FROM p
+), g AS (
+  SELECT lang, k AS words, array_to_string(ws[i : i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM w, unnest(range(1, len(ws) + 1)) AS u(i), (VALUES (1), (2), (3)) AS v(k) WHERE i + k - 1 <= len(ws) GROUP BY ALL
+), t AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM g WHERE words = 1 GROUP BY lang),
+c AS (SELECT * FROM g WHERE words > 1 AND f >= 10),
+kept AS (
+  SELECT * FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM c AS longer WHERE longer.lang = c.lang AND longer.words > c.words AND 100 * longer.f >= 50 * c.f
+      AND contains(' ' || longer.phrase || ' ', ' ' || c.phrase || ' '))
+), s AS (
+  SELECT kept.lang, kept.phrase, kept.f AS a, k, a.f AS l, b.f AS r, CAST(1000000::HUGEINT * kept.f * kept.f // (a.f::HUGEINT * b.f) AS BIGINT) AS score
+  FROM kept, unnest(range(1, words)) AS u(k)
+  JOIN g AS a ON a.lang = kept.lang AND a.phrase = array_to_string(string_split(kept.phrase, ' ')[:k], ' ')
+  JOIN g AS b ON b.lang = kept.lang AND b.phrase = array_to_string(string_split(kept.phrase, ' ')[k + 1:], ' ')
+), m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT m.lang, row_number() OVER (PARTITION BY m.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM m JOIN t ON t.lang = m.lang QUALIFY rank <= 2000
+"""
