@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from touchline.llm import bpe, chat, collocations, decontaminate, html, lm, near, pii, quality, repeats, urls
+from touchline.llm import audit, bpe, chat, collocations, decontaminate, html, lm, near, pii, quality, repeats, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -193,3 +193,64 @@ kept AS (
 SELECT m.lang, row_number() OVER (PARTITION BY m.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM m JOIN t ON t.lang = m.lang QUALIFY rank <= 2000
 """
+
+
+@query
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op12_audit"] = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), l AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), m AS (
+  SELECT part, len(ws) < 200 AS a, 100 * list_unique(ws) < 50 * len(ws) AS b,
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS c, regexp_matches(text, '[#$%&*|]') AS d,
+    coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), false) AS e, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM t LEFT JOIN l ON t.doc_id = l.doc_id
+), f AS (
+  SELECT part, map {'A': a, 'B': b, 'C': c, 'D': d, 'E': e} AS fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM m GROUP BY ALL
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT v.x || w.x || y.x || z.x || u.x AS filter_order FROM x AS v, x AS w, x AS y, x AS z, x AS u
+  WHERE len(list_distinct([v.x, w.x, y.x, z.x, u.x])) = 5
+), s AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS letter, n, good, toxic, fails[filter_order[step]] AS own,
+    len(list_filter(string_split(filter_order[: step - 1], ''), lambda k: k <> '' AND fails[k])) > 0 AS earlier,
+    len(list_filter(['A', 'B', 'C', 'D', 'E'], lambda k: fails[k])) AS failed
+  FROM f, o, unnest(range(1, 6)) AS r(step)
+), r AS (
+  SELECT part, filter_order, step, letter,
+    CAST(coalesce(sum(n) FILTER (NOT own AND NOT earlier), 0) AS BIGINT) AS kept,
+    CAST(coalesce(sum(n) FILTER (own AND NOT earlier), 0) AS BIGINT) AS removed,
+    CAST(coalesce(sum(n) FILTER (own AND earlier), 0) AS BIGINT) AS redundant,
+    CAST(coalesce(sum(n) FILTER (own AND failed = 1), 0) AS BIGINT) AS unique_fails,
+    CAST(coalesce(sum(good) FILTER (own AND NOT earlier), 0) AS BIGINT) AS good_lost,
+    CAST(coalesce(sum(toxic) FILTER (own AND NOT earlier), 0) AS BIGINT) AS toxic_lost
+  FROM s GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM r
+"""
+
+
+@query
+def op13_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256)
+
+
+ORACLE["op13_topk"] = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)
+SELECT q.vec_id AS query_id, CAST(row_number() OVER w AS INTEGER) AS rank, v.vec_id, CAST(list_dot_product(q.x, v.x) AS BIGINT) AS score
+FROM v AS q JOIN v ON q.vec_id % 50 = 0 AND q.vec_id <> v.vec_id
+WINDOW w AS (PARTITION BY q.vec_id ORDER BY list_dot_product(q.x, v.x) DESC, v.vec_id)
+QUALIFY rank <= 5
+"""
