@@ -104,9 +104,9 @@ def test_slices_lose_no_word(limit):
         for part, on in C.slices(data, limit):
             _, chunk, goes = C.parse(part, np.array([0, len(part)]), on)
             for c, g in zip(chunk.to_pylist(), goes):
-                w = c.split(" ")
-                own = len(w) - 2 if g else len(w)
-                total += own
-                grams.update(tuple(w[i : i + 3]) for i in range(own) if i + 3 <= len(w))
+                pieces = [piece.split(" ") for piece in c.split("\n")]
+                own = [len(w) for w in pieces[:-1]] + [len(pieces[-1]) - 2 * g]
+                total += sum(own)
+                grams.update(tuple(w[i : i + 3]) for w, o in zip(pieces, own) for i in range(o) if i + 3 <= len(w))
         want = collections.Counter(tuple(w[i : i + 3]) for w in words_of_pieces(text.decode()) for i in range(len(w) - 2))
         assert grams == want and total == sum(len(w) for w in words_of_pieces(text.decode()))

@@ -1,11 +1,11 @@
 """Phrase collocation mining: the phrases of two or three words that occur more often than their parts suggest.
 
 Method: prefix-free parsing. Texts are cut into pieces at `[.,;:!?]` and line breaks, and pieces into words. A pair of
-neighbouring words whose fingerprint is 0 modulo PERIOD triggers a cut: the chunk ends with that pair and the next chunk
-begins with it, so chunks overlap by two words and equal passages give equal chunks. A dictionary holds each distinct
-chunk of a language once, with how often the parse uses it. Phrases are counted inside distinct chunks only, weighted by
-that frequency. A phrase belongs to the chunk in which it begins before the closing pair, so those inside an overlap
-count once.
+neighbouring words of a piece whose fingerprint is 0 modulo PERIOD triggers a cut: the chunk ends with that pair and the
+next chunk begins with it, so chunks overlap by two words and equal passages give equal chunks. (Where the pair ends its
+piece, no phrase goes on and there is no overlap.) A dictionary holds each distinct chunk of a language once, with how
+often the parse uses it. Phrases are counted inside distinct chunks only, weighted by that frequency. A phrase belongs
+to the chunk in which it begins before the closing pair, so those inside an overlap count once.
 
 Where nothing triggers for LONGEST words, the chunk is cut there in the same way. Where texts are cut does not change
 any count.
@@ -33,13 +33,13 @@ from touchline.llm.words import LOWER, U64, buffers, fingerprints_between, gathe
 from touchline.session import stage
 
 #: One pair of words in so many ends a chunk; the overlap is one word less than the longest phrase.
-PERIOD = 16
+PERIOD = 32
 LONGEST = 256
 WORDS = 3
 OVERLAP = WORDS - 1
 #: Bytes parsed at a time, bytes of chunks counted at a time, entries of a bucket.
 SLICE = 2 << 20
-BLOCK = 12 << 20
+BLOCK = 4 << 20
 BUCKET = 1 << 20
 #: Hot words are spread over so many join keys, and the best of a language over so many tasks.
 SALTS = 16
@@ -72,11 +72,12 @@ class Segments:
         self.data, self.inside = data, inside
 
     def joined(self) -> tuple[np.ndarray, np.ndarray]:
-        """All words with one blank behind each, and where each begins."""
+        """All words with a blank behind each, a line feed where its piece ends, and where each word begins."""
         place = np.concatenate([[0], np.cumsum(self.end - self.start + 1)])
         out = np.full(place[-1], 0x20, np.uint8)
         of_word = np.ones(len(out), bool)
         of_word[place[1:] - 1] = False
+        out[place[1:][np.append(self.opens[1:], True)[: len(self.start)]] - 1] = 0x0A
         out[of_word] = self.data[self.inside]
         return out, place
 
@@ -94,7 +95,8 @@ def _texts(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
 
 
 def parse(data: np.ndarray, bounds: np.ndarray, goes_on: bool = False) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Chunks of lower-cased texts: the text of each, its words, and whether another chunk takes up its last words.
+    """Chunks of lower-cased texts: the text of each, its words (pieces divided by line feeds), and whether the next chunk
+    takes up its last two words.
 
     `goes_on`: the last piece is continued elsewhere, from its last two words on.
     """
@@ -103,20 +105,23 @@ def parse(data: np.ndarray, bounds: np.ndarray, goes_on: bool = False) -> tuple[
     if not n:
         return np.zeros(0, np.int64), pa.array([], pa.string()), np.zeros(0, bool)
     place = np.arange(n)
-    piece = place[seg.opens]
-    number = np.cumsum(seg.opens) - 1
-    last = np.append(piece[1:], n)[number] - 1
+    new_text = np.ones(n, bool)
+    new_text[1:] = seg.text[1:] != seg.text[:-1]
+    closes = np.append(new_text[1:], True)
+    ends_piece = np.append(seg.opens[1:], True)
     code = fingerprints_between(data, seg.start, seg.end)
     pair = np.zeros(n, U64)
     pair[1:] = mix(code[:-1] * U64(0x9E3779B97F4A7C15) ^ code[1:])
-    cut = (pair % U64(PERIOD) == 0) & (place - piece[number] >= OVERLAP) & (place < last)
-    # where nothing triggers for long, every LONGEST words behind the last cut or the piece's begin
-    since = place - np.maximum.accumulate(np.where(cut | seg.opens, place, 0))
-    cut |= (since > 0) & (since % LONGEST == 0) & (place < last)
-    closes = np.zeros(n, bool)
-    closes[np.append(piece[1:], n) - 1] = True
+    # a chunk has at least one word before its closing pair, and the pair lies in one piece
+    lone = new_text | np.append(False, new_text[:-1])
+    may = ~seg.opens & ~lone & ~closes
+    cut = may & (pair % U64(PERIOD) == 0)
+    # where nothing triggers for long, the first pair behind every LONGEST words since the last cut
+    since = place - np.maximum.accumulate(np.where(cut | new_text, place, 0))
+    due = since // LONGEST
+    cut |= may & (due > 0) & (np.append(0, due[:-1]) < due)
     ends = np.flatnonzero(cut | closes)
-    goes = cut[ends]
+    goes = cut[ends] & ~ends_piece[ends]
     starts = np.zeros(len(ends), np.int64)
     starts[1:] = np.where(goes[:-1], ends[:-1] - (OVERLAP - 1), ends[:-1] + 1)
     if goes_on:
@@ -125,7 +130,7 @@ def parse(data: np.ndarray, bounds: np.ndarray, goes_on: bool = False) -> tuple[
     return seg.text[starts], _texts(words, at[starts], at[ends + 1] - 1), goes
 
 
-def slices(data: np.ndarray, limit: int = SLICE) -> Iterator[tuple[np.ndarray, bool]]:
+def slices(data: np.ndarray, limit: int) -> Iterator[tuple[np.ndarray, bool]]:
     """Cut a long text where a piece ends, or else between words with the last two words repeated (then true)."""
     at, size = 0, limit
     while len(data) - at > size:
@@ -148,24 +153,29 @@ def slices(data: np.ndarray, limit: int = SLICE) -> Iterator[tuple[np.ndarray, b
     yield data[at:], False
 
 
-def _chunk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in gathered(batches, "text", SLICE):
-        raw, bounds = buffers(batch.column("text"))
-        data = LOWER[raw]
-        if batch.num_rows == 1:
-            parts = ((part, np.array([0, len(part)]), on) for part, on in slices(data))
-        else:
-            parts = iter([(data, bounds, False)])
-        for part, edges, on in parts:
-            text, chunk, goes = parse(part, edges, on)
-            if len(text):
-                yield pa.RecordBatch.from_arrays([batch.column("lang").take(pa.array(text)), chunk, pa.array(goes)], names=["lang", "chunk", "goes"])
+def _parsed(limit: int):
+    """Chunks of batches of texts, `limit` bytes at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in gathered(batches, "text", limit):
+            raw, bounds = buffers(batch.column("text"))
+            data = LOWER[raw]
+            if batch.num_rows == 1:
+                parts = ((part, np.array([0, len(part)]), on) for part, on in slices(data, limit))
+            else:
+                parts = iter([(data, bounds, False)])
+            for part, edges, on in parts:
+                text, chunk, goes = parse(part, edges, on)
+                if len(text):
+                    yield pa.RecordBatch.from_arrays([batch.column("lang").take(pa.array(text)), chunk, pa.array(goes)], names=["lang", "chunk", "goes"])
+
+    return run
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
     """Distinct chunks of each language with how often the parse uses them: lang, chunk, goes, n."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    parsed = texts.mapInArrow(_chunk_batches, "lang string, chunk string, goes boolean")
+    parsed = texts.mapInArrow(_parsed(SLICE), "lang string, chunk string, goes boolean")
     return parsed.groupBy("lang", "chunk", "goes").agg(F.count("*").alias("n"))
 
 
@@ -194,8 +204,8 @@ class Counts:
         goes = np.asarray(batch.column("goes").to_numpy(zero_copy_only=False), bool)[seg.text]
         n = len(seg.start)
         place = np.arange(n)
-        last = np.searchsorted(seg.text, seg.text, "right") - 1
-        own = ~goes | (place + OVERLAP <= last)
+        own = ~goes | (place + OVERLAP < np.searchsorted(seg.text, seg.text, "right"))
+        last = np.append(np.flatnonzero(seg.opens)[1:], n)[np.cumsum(seg.opens) - 1] - 1
         # numbers of words are exact: the words themselves are looked up, not their fingerprints
         sizes = np.concatenate([[0], np.cumsum(seg.end - seg.start)])
         word = pa.LargeStringArray.from_buffers(n, pa.py_buffer(sizes.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[seg.inside]))).dictionary_encode()
@@ -241,15 +251,15 @@ def _unpack(entries: int, size: int, packed: bytes) -> tuple[np.ndarray, pa.Arra
     return raw[: 8 * entries].view("<i8"), _texts(lines, np.concatenate([[0], ends[:-1] + 1]), ends)
 
 
-def _packed(buckets: int):
+def _packed(buckets: int, block: int):
     """One row for each language and bucket that a block of chunks has phrases of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in gathered(batches, "chunk", BLOCK):
+        for batch in gathered(batches, "chunk", block):
             if not batch.num_rows:
                 continue
             c = Counts(batch)
-            code = fingerprints_between(c.words, c.start, c.end)
+            code = fingerprints_between(c.words, c.start, np.maximum(c.end - 1, c.start))
             key = c.lang * buckets + (code % U64(buckets)).astype(np.int64)
             order = np.argsort(key, kind="stable")
             edges = np.flatnonzero(np.diff(key[order], prepend=-1))
@@ -286,7 +296,7 @@ def frequent_phrases(docs: DataFrame, least: int = 10) -> DataFrame:
     """
     bytes_ = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, math.ceil(bytes_ * ENTRIES_PER_BYTE / BUCKET))
-    packed = dictionary(docs).mapInArrow(_packed(buckets), _PACKED_DDL)
+    packed = dictionary(docs).mapInArrow(_packed(buckets, BLOCK), _PACKED_DDL)
     return packed.groupBy("lang", "bucket").applyInArrow(_merged(least), "lang string, phrase string, f long")
 
 
