@@ -9,14 +9,15 @@ from touchline.operators.impute import (
     fill_where, forward_fill, group_fills, impute, impute_mode_then_global, override_where,
 )
 from touchline.operators.knn import knn_impute
-from touchline.operators.ordered import with_slices
+from touchline.operators import ordered
+from touchline.operators.ordered import range_slices
 from touchline.operators.stats import global_statistic, group_mode, group_percentiles, min_max_scaled
 
 
 def test_slices_are_monotone_and_even(spark):
     df = spark.range(1000).select((F.col("id") * F.col("id")).alias("x"))
-    got = with_slices(df, ["x"], ["s"], 10).orderBy("x").collect()
-    s = [r["s"] for r in got]
+    got = range_slices(df, ["x"], 10).orderBy("x").collect()
+    s = [r["_slice"] for r in got]
     assert s == sorted(s) and s[0] == 0 and s[-1] == 9
     assert max(s.count(i) for i in range(10)) < 150
 
@@ -25,12 +26,49 @@ def test_slices_split_a_shared_value(spark):
     rnd = random.Random(9)
     data = sorted((7 if rnd.random() < 0.5 else rnd.randrange(20), i) for i in range(2000))
     df = spark.createDataFrame(data, "season int, id int")
-    got = with_slices(df, ["season", "id"], ["a", "b"], 8).orderBy("season", "id").collect()
-    numbers = [(r["a"], r["b"]) for r in got]
+    got = range_slices(df, ["season", "id"], 8).orderBy("season", "id").collect()
+    numbers = [r["_slice"] for r in got]
     assert numbers == sorted(numbers)  # the numbers follow the order
     assert max(numbers.count(n) for n in set(numbers)) < 400  # half of the rows share one season
 
 
+def test_as_many_slices_as_the_rows_need(spark, monkeypatch):
+    """A key with a third of the rows, and rows without a key, are cut like all others; the order may be text."""
+    monkeypatch.setattr(ordered, "SLICE_ROWS", 500)
+    rnd = random.Random(2)
+    data = [(rnd.choice(["hot", None, f"k{rnd.randrange(900)}"]), f"{rnd.randrange(10**6):07d}-{i}", i) for i in range(6000)]
+    df = spark.createDataFrame(data, "k string, at string, v int")
+    spread = F.when(F.col("k").isNull(), F.xxhash64("at")).alias("_spread")
+    sizes = [r["count"] for r in range_slices(df.select("*", spread), ["k", "_spread", "at"]).groupBy("_slice").count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 1000
+    gaps = df.withColumn("v", F.when(F.col("v") % 50 == 0, F.col("v")))
+    got = {(r[0], r[1]): r[2] for r in forward_fill(gaps, ["k"], ["at"], ["v"]).collect()}
+    for key in ("hot", "k5"):
+        last = None
+        for _, at, i in sorted((d for d in data if d[0] == key), key=lambda d: d[1]):
+            last = i if i % 50 == 0 else last
+            assert got[key, at] == last
+    assert all(got[None, at] == (i if i % 50 == 0 else None) for k, at, i in data if k is None)
+
+
+@pytest.mark.parametrize("backward", [False, True])
+def test_a_slice_takes_over_one_row(spark, backward):
+    df = spark.createDataFrame([(k, i, i if i % 40 == 0 else None, None if i % 7 else f"t{i}") for k in (1, 2) for i in range(200)], "k int, i int, v int, t string")
+    sliced = range_slices(df, ["k", "i"], 16)
+    carried = ordered.starts(sliced, ["k"], ["i"], ["v", "t"], backward).collect()
+    assert len(carried) == sliced.select("_slice").distinct().count()
+    edges = {r["_slice"]: (r["lo"], r["hi"]) for r in sliced.groupBy("_slice").agg(F.min(F.struct("k", "i")).alias("lo"), F.max(F.struct("k", "i")).alias("hi")).collect()}
+    for r in carried:
+        k, i = edges[r["_slice"]][1 if backward else 0]
+        assert r["k"] == k
+        outside = [j for j in range(200) if (j > i if backward else j < i)]
+        known = [[j for j in outside if j % 40 == 0], [j for j in outside if j % 7 == 0]]
+        pick = min if backward else max
+        # the rows of the key in earlier slices are those before the slice's first row
+        assert r["_c_v"] == (pick(known[0]) if known[0] else None)
+        assert r["_c_t"] == (f"t{pick(known[1])}" if known[1] else None)
+
+
 @pytest.mark.parametrize("backward", [False, True])
 def test_fill_along_a_hot_key(spark, rows, backward):
     rnd = random.Random(3)
@@ -63,6 +101,34 @@ def test_percentiles_match_numpy(spark):
     assert whole == pytest.approx(np.median([x for _, x in data if x is not None]))
 
 
+def test_percentiles_of_large_groups_by_radix(spark):
+    """Groups above the bound are searched in few rounds that read ever fewer rows; hot values and both signs included."""
+    rnd = random.Random(6)
+    data = [("a", rnd.gauss(0, 1)) for _ in range(3000)] + [("b", rnd.choice([5.0, 5.0, rnd.random()])) for _ in range(1500)] + [("c", float(i)) for i in range(30)]
+    data += [("d", v) for v in (float("inf"), -float("inf"), -0.0, 0.0, 5e-324, -5e-324)] * 20 + [("a", None), (None, 3.0)]
+    rnd.shuffle(data)
+    df = spark.createDataFrame(data, "k string, x double")
+    probs = {"lo": 0.0, "q1": 0.25, "med": 0.5, "p9": 0.9, "hi": 1.0}
+    trace = []
+    got = {r["k"]: r for r in group_percentiles(df, ["k"], "x", probs, direct=50, trace=trace).collect()}
+    assert set(got) == {"a", "b", "c", "d"}
+    for k in "abc":
+        xs = [x for g, x in data if g == k and x is not None]
+        for name, p in probs.items():
+            assert got[k][name] == pytest.approx(np.percentile(xs, p * 100))
+    assert [got["d"][n] for n in ("lo", "med", "hi")] == [-float("inf"), 0.0, float("inf")]
+    assert 2 <= len(trace) <= 8
+    assert trace[0] == (3, 4620) and all(later[1] < earlier[1] for earlier, later in zip(trace, trace[1:]) if later[1] > 1200)
+    whole = group_percentiles(df, [], "x", {"m": 0.5}, direct=50).collect()
+    assert whole[0]["m"] == pytest.approx(np.median([x for _, x in data if x is not None]))
+
+
+def test_percentiles_without_values(spark):
+    df = spark.createDataFrame([("a", None)], "k string, x double")
+    assert group_percentiles(df, ["k"], "x", {"m": 0.5}).collect() == []
+    assert [r["m"] for r in group_percentiles(df, [], "x", {"m": 0.5}).collect()] == [None]
+
+
 def test_mode_ties_and_gaps(spark, rows):
     df = spark.createDataFrame([("a", "y"), ("a", "x"), ("b", None), ("c", "z"), (None, "q")], "k string, v string")
     assert rows(group_mode(df, ["k"], "v", "m"), "k") == [("a", "x"), ("c", "z")]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from touchline.operators.ordered import SLICES, carry_along
+from touchline.operators.ordered import carry_along
 
 
 def asof_backward(
@@ -17,7 +17,7 @@ def asof_backward(
     on: str,
     payload: Sequence[str],
     tie_break: Sequence[str] = (),
-    slices: int = SLICES,
+    slices: int | None = None,
 ) -> DataFrame:
     """Each left row with the latest right row of its key at or before ``on``.
 
@@ -25,11 +25,10 @@ def asof_backward(
     NULL, and a left row without a match gets NULLs. Several right rows at the
     same point: the one greatest in ``tie_break`` (then payload) wins.
 
-    Both sides first shrink, with map-side combining, to one row per distinct
-    (key, point). The search itself moves only points: which point of the right
-    side answers a point of the left side. Payloads and left rows meet the
-    answers in equi-joins, which the adaptive planner can broadcast, or split
-    when one key is hot.
+    Both sides are united along (key, ``on``), right rows first, and the last
+    right row is carried to the left rows by a prefix scan over slices of that
+    order. There is no join of the two tables, and a hot key costs no more than
+    its rows. Right rows of one point shrink to the winner before they move.
     """
     keys = [*by, on]
     present = F.lit(True)
@@ -37,17 +36,16 @@ def asof_backward(
         present = present & F.col(k).isNotNull()
     row = F.struct(*[F.col(c) for c in dict.fromkeys([*tie_break, *payload])])
     build = right.where(present).groupBy(*keys).agg(F.max(row).alias("_row"))
-    probe = left.where(present).select(*keys).distinct()
-
-    points = probe.select(*keys, F.lit(None).cast(build.schema[on].dataType).alias("_at"), F.lit(1).alias("_side"))
-    points = points.unionByName(build.select(*keys, F.col(on).alias("_at"), F.lit(0).alias("_side")))
-    raw = left.select(on).unionByName(right.select(on))
-    found = carry_along(points, by, [on, "_side"], ["_at"], slice_on=[on], slices=slices, cuts_from=raw)
-    found = found.where("_side = 1 and _at is not null").drop("_side")
-
-    rows = build.select(*[F.col(k) for k in by], F.col(on).alias("_at"), "_row")
-    answers = found.join(rows, [*by, "_at"]).select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
-    return left.join(answers, keys, "left").select(*left.columns, *payload)
+    build = build.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.lit(0).alias("_side"), F.lit(0).cast("long").alias("_any"), "_row")
+    # left rows of one point come in any order behind the right one; the number only spreads them
+    probe = left.select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.lit(1).alias("_side"), F.monotonically_increasing_id().alias("_any"),
+        F.struct(*[F.col(c) for c in left.columns]).alias("_left"),
+    )
+    both = probe.unionByName(build, allowMissingColumns=True)
+    names = [f"_k{i}" for i in range(len(keys))]
+    found = carry_along(both, names[:-1], [names[-1], "_side", "_any"], ["_row"], slices=slices).where("_side = 1")
+    return found.select(*[F.col(f"_left.{c}").alias(c) for c in left.columns], *[F.col(f"_row.{c}").alias(c) for c in payload])
 
 
 def latest_prior_in_bucket(
@@ -58,7 +56,7 @@ def latest_prior_in_bucket(
     left_on: str,
     right_on: str,
     payload: str,
-    slices: int = SLICES,
+    slices: int | None = None,
 ) -> DataFrame:
     """Latest non-null payload of the same key *and* bucket not after the left date.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions.values import lookup
-from touchline.operators.ordered import SLICES, carry_along
+from touchline.operators.ordered import carry_along
 from touchline.operators.stats import attach, global_statistic, group_statistic
 
 
@@ -129,14 +129,14 @@ def fill_by_type(df: DataFrame, number=0, text: str = "Unknown") -> DataFrame:
 
 
 def forward_fill(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], slices: int = SLICES
+    df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], slices: int | None = None
 ) -> DataFrame:
     """Last known value of the group; ``order`` must be total within it."""
     return carry_along(df, by, order, cols, slices=slices)
 
 
 def backward_fill(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], slices: int = SLICES
+    df: DataFrame, by: Sequence[str], order: Sequence[str], cols: Sequence[str], slices: int | None = None
 ) -> DataFrame:
     """Next known value of the group."""
     return carry_along(df, by, order, cols, backward=True, slices=slices)

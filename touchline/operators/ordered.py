@@ -1,71 +1,71 @@
 """Running values along an order within a key, safe for keys of any size.
 
-A plain window puts all rows of a key into one task. Here each key is cut into
-slices of the order column; a slice is a task-sized group, and what earlier
-slices pass on is one small row per slice.
+A plain window puts all rows of a key into one task. Here the rows are dealt over
+range partitions of (key, order), so a key of any size spreads over as many
+partitions as its rows need and a partition holds a slice of the order. A prefix
+scan joins them: each partition sums up in one row what it passes on, a scan of
+those rows gives each partition what it starts with, and one pass inside the
+partitions does the rest. Rows are shuffled twice: into their range and into the
+window over it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from itertools import takewhile
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SLICES = 32
+from touchline.session import stage
 
+#: Rows that a slice of the order should hold; a window task sorts that many.
+SLICE_ROWS = 100_000
 
-def _as_double(df: DataFrame, name: str) -> Column:
-    """Number that never falls as the column rises."""
-    kind = df.schema[name].dataType
-    if isinstance(kind, T.DateType):
-        return F.unix_date(name).cast("double")
-    if isinstance(kind, T.TimestampNTZType):
-        # whole seconds from the calendar fields: no session time zone involved
-        clock = F.hour(name) * 3600 + F.minute(name) * 60 + F.second(name)
-        return F.unix_date(F.col(name).cast("date")).cast("double") * 86400 + clock
-    return F.col(name).cast("double")
 
+def range_slices(df: DataFrame, order: Sequence[str], slices: int | None = None, out: str = "_slice") -> DataFrame:
+    """The rows with the number of their slice along the order, written once.
 
-def with_slices(
-    df: DataFrame,
-    order: Sequence[str],
-    out: Sequence[str],
-    slices: int = SLICES,
-    cuts_from: DataFrame | None = None,
-) -> DataFrame:
-    """Cut the rows, along one or more order columns, into numbered slices of like size.
+    Slices are range partitions, as many as the rows need unless given. Rows with
+    equal order values share a slice, so a total order gives the most even ones.
+    """
+    if slices is None:
+        df = stage(df, "unsliced")
+        slices = max(1, math.ceil(df.count() / SLICE_ROWS))
+    ranged = df.repartitionByRange(slices, *order) if slices > 1 else df.coalesce(1)
+    return stage(ranged.withColumn(out, F.spark_partition_id()), "slices")
+
+
+def _known(names: Sequence[str]) -> Column:
+    known = F.lit(True)
+    for name in names:
+        known = known & F.col(name).isNotNull()
+    return known
 
-    The first number counts the quantile cuts at or below the first column. Where
-    a value is itself a cut, and so may be shared by very many rows, its rows are
-    cut further along the next column; all other rows of that slice come after
-    them and get the top number. Sorting by the numbers keeps the order.
 
-    The cuts come from one approximate-quantile aggregate, held as a scalar
-    subquery. ``cuts_from`` is a table with the same columns that is cheaper to
-    scan, such as the rows that ``df`` was aggregated from.
+def starts(sliced: DataFrame, keys: Sequence[str], order: Sequence[str], columns: Sequence[str], backward: bool = False) -> DataFrame:
+    """What a slice takes over for the key that it shares with the slices before it.
+
+    One row a slice: ``_slice``, the key, and ``_c_<column>``, the last non-null value
+    of that key in earlier slices (``backward``: the first in later ones).
     """
-    source = df if cuts_from is None else cuts_from
-    probs = F.lit([i / slices for i in range(1, slices)])
-    cuts = source.select(
-        F.struct(
-            *[
-                F.percentile_approx(_as_double(source, c), probs, F.lit(10 * slices)).alias(f"c{i}")
-                for i, c in enumerate(order)
-            ]
-        ).alias("cuts")
+    key = F.struct(*keys) if keys else F.struct(F.lit(0).alias("all"))
+    place = F.struct(key.alias("key"), *order)
+    best, near, far = (F.min_by, F.max, F.min) if backward else (F.max_by, F.min, F.max)
+    # the key at the edge where the scan enters a slice, the key where it leaves, and the values it leaves with
+    ends = sliced.where(_known(keys)).groupBy("_slice").agg(
+        near(key).alias("_in"), far(key).alias("_out"),
+        *[best(F.struct(key.alias("key"), F.col(c).alias("v")), F.when(F.col(c).isNotNull(), place)).alias(f"_e_{c}") for c in columns],
     )
-    marked = df.withColumns(
-        {"_cuts": cuts.scalar(), **{f"_number{i}": _as_double(df, c) for i, c in enumerate(order)}}
+    leaving = [F.when(F.col(f"_e_{c}.key") == F.col("_out"), F.struct(F.col(f"_e_{c}.v").alias("v"))).alias(f"_p_{c}") for c in columns]
+    entering = [F.lit(None).alias(f"_p_{c}") for c in columns]
+    passing = ends.select("_slice", F.col("_in").alias("_key"), F.lit(0).alias("_leaves"), *entering).unionByName(
+        ends.select("_slice", F.col("_out").alias("_key"), F.lit(1).alias("_leaves"), *leaving)
     )
-    numbers, shared = [], "true"
-    for i, name in enumerate(out):
-        above = " + ".join(f"coalesce(cast(_number{i} >= _cuts.c{i}[{j}] as int), 0)" for j in range(slices - 1))
-        numbers.append(F.expr(f"case when {shared} then {above} else {slices} end").alias(name))
-        shared = f"{shared} and array_contains(_cuts.c{i}, _number{i})"
-    return marked.select(*df.columns, *numbers)
+    along = Window.partitionBy("_key").orderBy(F.col("_slice").desc() if backward else F.col("_slice"), "_leaves")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    scanned = passing.select("_slice", "_key", "_leaves", *[F.last(f"_p_{c}", ignorenulls=True).over(before)["v"].alias(f"_c_{c}") for c in columns])
+    return scanned.where("_leaves = 0").select("_slice", *[F.col(f"_key.{k}").alias(k) for k in keys], *[f"_c_{c}" for c in columns])
 
 
 def carry_along(
@@ -74,51 +74,24 @@ def carry_along(
     order: Sequence[str],
     columns: Sequence[str],
     backward: bool = False,
-    slice_on: Sequence[str] | None = None,
-    slices: int = SLICES,
-    cuts_from: DataFrame | None = None,
+    slices: int | None = None,
 ) -> DataFrame:
     """Last non-null value at or before each row (``backward``: first at or after).
 
-    ``order`` must be a total order within a key. Slices are cut along
-    ``slice_on``, the leading number and date columns of the order if not given.
-    A row whose key holds NULL keeps its own value.
+    ``order`` may be of any orderable types and must be total within a key: the
+    rows of one place can't be cut. A row whose key holds NULL keeps its value.
     """
-    if slice_on is None:
-        cuttable = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
-        slice_on = list(takewhile(lambda c: isinstance(df.schema[c].dataType, cuttable), order))
-    chunk = [f"_s{i}" for i in range(len(slice_on))]
-    base = with_slices(df, slice_on, chunk, slices, cuts_from)
-    keyed = F.lit(True)
-    for k in keys:
-        keyed = keyed & F.col(k).isNotNull()
-
-    edge = F.min if backward else F.max
-    ends = base.where(keyed).groupBy(*keys, *chunk).agg(
-        *[
-            edge(F.when(F.col(c).isNotNull(), F.struct(*order, F.col(c).alias("v")))).alias(f"_e_{c}")
-            for c in columns
-        ]
-    )
-    direction = (lambda c: F.col(c).desc()) if backward else (lambda c: F.col(c).asc())
-    before = (
-        Window.partitionBy(*keys)
-        .orderBy(*[direction(c) for c in chunk])
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = ends.select(
-        *[F.col(c).alias(f"_k_{c}") for c in [*keys, *chunk]],
-        *[F.last(f"_e_{c}", ignorenulls=True).over(before)["v"].alias(f"_c_{c}") for c in columns],
-    )
-    joined = base.join(carried, [F.col(c) == F.col(f"_k_{c}") for c in [*keys, *chunk]], "left")
-
-    inside = (
-        Window.partitionBy(*keys, *chunk)
-        .orderBy(*[direction(c) for c in order])
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    keys, order = list(keys), list(order)
+    # rows without a key need no order, so they spread by their content
+    spread = F.when(~_known(keys), F.xxhash64(*order)).alias("_spread")
+    sliced = range_slices(df.select("*", spread), [*keys, "_spread", *order], slices)
+    carried = starts(sliced, keys, order, columns, backward)
+    renamed = carried.select(*[F.col(c).alias(f"_k_{c}") for c in ["_slice", *keys]], *[f"_c_{c}" for c in columns])
+    joined = sliced.join(renamed, [F.col(c) == F.col(f"_k_{c}") for c in ["_slice", *keys]], "left")
+    inside = Window.partitionBy("_slice", *keys).orderBy(*[F.col(c).desc() if backward else F.col(c) for c in order])
+    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = {
-        c: F.when(keyed, F.coalesce(F.last(c, ignorenulls=True).over(inside), F.col(f"_c_{c}"))).otherwise(F.col(c))
+        c: F.when(_known(keys), F.coalesce(F.last(c, ignorenulls=True).over(upto), F.col(f"_c_{c}"))).otherwise(F.col(c))
         for c in columns
     }
     return joined.select(*[out[c].alias(c) if c in out else F.col(c) for c in df.columns])

@@ -6,12 +6,21 @@ the rows costs no more than any other.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from touchline.operators.ordered import SLICES, with_slices
+from touchline.session import stage
+
+#: Groups and buckets of at most this many rows are ranked in one task.
+DIRECT = 100_000
+#: Bits that a round of the search adds, and join keys that a hot group is spread over.
+DIGIT = 8
+SALTS = 16
 
 
 def _present(cols: Sequence[str]) -> Column:
@@ -33,60 +42,120 @@ def group_mode(df: DataFrame, keys: Sequence[str], col: str, out: str) -> DataFr
     return counts.groupBy(*keys).agg(best["v"].alias(out))
 
 
+def _ordered_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds to each double the whole number of 64 bits that sorts as it does (NaN last)."""
+    for batch in batches:
+        x = batch.column("_x").to_numpy(zero_copy_only=False) + 0.0
+        bits = np.where(np.isnan(x), np.nan, x).view(np.int64)
+        bits = np.where(bits < 0, bits ^ np.int64(0x7FFFFFFFFFFFFFFF), bits)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(bits)], names=[*batch.schema.names, "_bits"])
+
+
+def _bit_length(c: Column) -> Column:
+    return F.when(c == 0, 0).otherwise(F.length(F.bin(c))).cast("int")
+
+
+def _in_buckets(values: DataFrame, buckets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Values with the bucket that holds them: the upper bits above `_span` agree. Hot keys are spread."""
+    salted = values.withColumn("_salt", F.pmod("_bits", F.lit(SALTS).cast("long")))
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+    named = buckets.select(*[F.col(k).alias(f"_b_{k}") for k in keys], F.col("_prefix").alias("_b_prefix"), F.col("_span").alias("_b_span"), F.explode(numbers).alias("_b_salt"))
+    match = [F.col(k) == F.col(f"_b_{k}") for k in keys] + [F.col("_salt") == F.col("_b_salt")]
+    held = F.expr("_b_span >= 64 or shiftright(_bits, least(_b_span, 63)) = _b_prefix")
+    joined = salted.join(named, [*match, held]).withColumnsRenamed({"_b_prefix": "_prefix", "_b_span": "_span"})
+    return joined.select(*values.columns, "_prefix", "_span")
+
+
+def _narrowed(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each target moved into the one of the 2 ** DIGIT parts of its bucket that holds its rank."""
+    buckets = targets.select(*keys, "_prefix", "_span").distinct()
+    deeper = F.greatest(F.col("_span") - DIGIT, F.lit(0))
+    held = _in_buckets(values, buckets, keys).withColumn("_to", deeper).withColumn("_part", F.expr("shiftright(_bits, _to)"))
+    parts = held.groupBy(*keys, "_prefix", "_span", "_to", "_part").agg(F.count("*").alias("_m"))
+    run = Window.partitionBy(*keys, "_prefix", "_span").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_before", F.coalesce(F.sum("_m").over(run), F.lit(0)))
+    found = targets.join(parts, [*keys, "_prefix", "_span"])
+    found = found.where("_before <= _rank and _rank < _before + _m")
+    return found.select(*keys, "_place", (F.col("_rank") - F.col("_before")).alias("_rank"), F.col("_part").alias("_prefix"), F.col("_to").alias("_span"), F.col("_m").alias("_n"))
+
+
+def _at_ranks(counts: DataFrame, targets: DataFrame, groups: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Values at the targets' ranks, from counts of distinct values of their groups."""
+    run = Window.partitionBy(*groups).orderBy("_bits")
+    upto = counts.withColumn("_upto", F.sum("_c").over(run.rowsBetween(Window.unboundedPreceding, 0)))
+    found = targets.select(*groups, "_place", "_rank").join(upto, list(groups)) if groups else targets.select("_place", "_rank").join(upto, F.expr("_rank < _upto"))
+    return found.where("_upto - _c <= _rank and _rank < _upto").select(*keys, "_place", F.col("_x").alias("_value"))
+
+
 def group_percentiles(
     df: DataFrame,
     keys: Sequence[str],
     col: str,
     probs: Mapping[str, float],
-    slices: int = SLICES,
+    direct: int = DIRECT,
+    trace: list | None = None,
 ) -> DataFrame:
     """Exact percentiles per group, interpolated linearly between neighbours.
 
-    ``probs`` maps output name to probability. Rows shrink to (key, value,
-    count); the ranks asked for are located first by slices of the value range
-    and then only inside the few slices that hold them, so neither a hot group
-    nor a long list of distinct values ever sits in one task.
+    ``probs`` maps output name to probability. Groups of at most ``direct`` rows
+    shrink to counts of distinct values and are ranked at once. Larger ones are
+    searched by radix: the bucket of values that holds a rank is divided by the
+    next DIGIT bits of their ordered bits, all groups and ranks in one aggregate,
+    until buckets hold at most ``direct`` rows or one value. Only the rows of
+    buckets are counted, nothing is sorted but the distinct values of a last
+    bucket, and a round shuffles at most 2 ** DIGIT counts a bucket and task.
+    ``trace`` takes the number of buckets and of rows in them of each round.
     """
-    keys = list(keys)
-    values = df.where(_present([*keys, col])).select(*keys, F.col(col).cast("double").alias("_x"))
-    counts = values.groupBy(*keys, "_x").agg(F.count("*").alias("_n"))
-    counts = with_slices(counts, ["_x"], ["_slice"], slices, cuts_from=values)
-    per_slice = counts.groupBy(*keys, "_slice").agg(F.sum("_n").alias("_m"))
-    in_key = Window.partitionBy(*keys)
-    run = in_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    per_slice = per_slice.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.col("_slice").alias("_k_slice"),
-        "_m",
-        F.coalesce(F.sum("_m").over(run), F.lit(0)).alias("_before"),
-        F.sum("_m").over(in_key).alias("_total"),
-    )
+    keys = list(keys) or ["_all"]
+    source = df if "_all" not in keys else df.withColumn("_all", F.lit(0))
+    rows = source.where(_present([*keys, col])).select(*keys, F.col(col).cast("double").alias("_x"))
+    ddl = T.StructType([*rows.schema.fields, T.StructField("_bits", T.LongType())])
+    values = stage(rows.mapInArrow(_ordered_bits, ddl), "values")
+    sizes = values.groupBy(*keys).agg(F.count("*").alias("_total"), F.min("_bits").alias("_low"), F.max("_bits").alias("_high"))
+    most = sizes.agg(F.max("_total")).first()[0] or 0
+
+    # the ranks below and above each position, as targets; `_place` numbers them
+    sizes = stage(sizes, "sizes") if most > direct else sizes
     position = {o: F.lit(p) * (F.col("_total") - 1) for o, p in probs.items()}
-    wanted = F.lit(False)
-    for pos in position.values():
-        wanted = wanted | ((F.col("_before") <= F.ceil(pos)) & (F.floor(pos) < F.col("_before") + F.col("_m")))
-    near = per_slice.where(wanted)
-    match = [F.col(k) == F.col(f"_k_{k}") for k in keys] + [F.col("_slice") == F.col("_k_slice")]
-    cum = Window.partitionBy(*keys, "_slice").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = counts.join(near, match).withColumn("_upto", F.col("_before") + F.sum("_n").over(cum))
-
-    def value_at(rank: Column) -> Column:
-        here = (F.col("_upto") - F.col("_n") <= rank) & (rank < F.col("_upto"))
-        return F.max(F.when(here, F.col("_x")))
-
-    aggs = [F.max("_total").alias("_total")]
-    for o, pos in position.items():
-        aggs += [value_at(F.floor(pos)).alias(f"_lo_{o}"), value_at(F.ceil(pos)).alias(f"_hi_{o}")]
-    ends = ranked.groupBy(*keys).agg(*aggs)
-    return ends.select(
-        *keys,
-        *[
-            (
-                F.col(f"_lo_{o}")
-                + (F.col(f"_hi_{o}") - F.col(f"_lo_{o}")) * (position[o] - F.floor(position[o]))
-            ).alias(o)
-            for o in probs
-        ],
+    ranks = [F.struct(F.lit(2 * i + up).alias("_place"), (F.ceil(pos) if up else F.floor(pos)).alias("_rank")) for i, pos in enumerate(position.values()) for up in (0, 1)]
+    targets = sizes.select("*", F.inline(F.array(*ranks)))
+
+    if most <= direct:
+        counts = values.groupBy(*keys, "_bits", "_x").agg(F.count("*").alias("_c"))
+        ends = _at_ranks(counts, targets, keys, keys)
+    else:
+        light = targets.where(F.col("_total") <= direct)
+        large = sizes.where(F.col("_total") > direct)  # at most one in `direct` rows is a large group
+        marked = values.join(large.select(*keys), keys, "left_anti")
+        ends = _at_ranks(marked.groupBy(*keys, "_bits", "_x").agg(F.count("*").alias("_c")), light, keys, keys)
+        span = _bit_length(F.col("_low").bitwiseXOR(F.col("_high")))
+        prefix = F.expr("case when _span >= 64 then 0 else shiftright(_low, least(_span, 63)) end")
+        open_ = targets.where(F.col("_total") > direct).withColumn("_span", span)
+        open_ = open_.select(*keys, "_place", "_rank", prefix.alias("_prefix"), "_span", F.col("_total").alias("_n"))
+        while True:
+            open_ = stage(open_, "targets")
+            wide = open_.where((F.col("_n") > direct) & (F.col("_span") > 0))
+            buckets, held = wide.select(*keys, "_prefix", "_span", "_n").distinct().agg(F.count("*"), F.sum("_n")).first()
+            if not buckets:
+                break
+            if trace is not None:
+                trace.append((buckets, held))
+            open_ = _narrowed(values, wide, keys).unionByName(open_.where((F.col("_n") <= direct) | (F.col("_span") == 0)))
+        inside = [*keys, "_prefix", "_span"]
+        last = _in_buckets(values, open_.select(*inside).distinct(), keys)
+        ends = ends.unionByName(_at_ranks(last.groupBy(*inside, "_bits", "_x").agg(F.count("*").alias("_c")), open_, inside, keys))
+
+    place = {o: 2 * i for i, o in enumerate(probs)}
+    at = lambda k: F.max(F.when(F.col("_place") == k, F.col("_value")))
+    ends = ends.groupBy(*keys).agg(*[at(k + up).alias(f"_{up}_{o}") for o, k in place.items() for up in (0, 1)])
+    named = [F.col(k).alias(f"_s_{k}") for k in keys]
+    whole = ends.join(sizes.select(*named, "_total"), [F.col(k) == F.col(f"_s_{k}") for k in keys])
+    low, high = (lambda o: F.col(f"_0_{o}")), (lambda o: F.col(f"_1_{o}"))
+    if "_all" in keys:  # a table without values still has one row
+        whole = df.sparkSession.range(1).select(F.lit(0).alias("_one")).join(whole, F.col("_one") == F.col("_all"), "left")
+    return whole.select(
+        *[k for k in keys if k != "_all"],
+        *[F.when(low(o) == high(o), low(o)).otherwise(low(o) + (high(o) - low(o)) * (position[o] - F.floor(position[o]))).alias(o) for o in probs],
     )
 
 
