@@ -200,3 +200,39 @@ def test_knn_matches_brute_force(spark, blocks):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(data)], "id int, a double, b double, c double")
     got = np.array([list(r)[1:] for r in knn_impute(df, ["a", "b", "c"], 5, *blocks).orderBy("id").collect()], dtype=float)
     assert np.allclose(got, brute_knn(data, 5))
+
+
+def test_knn_leaves_far_cells_unvisited(spark):
+    rnd = random.Random(12)
+    data = [[rnd.random() * 100 for _ in range(3)] for _ in range(3000)]
+    for row in data[:60]:
+        row[rnd.randrange(3)] = None
+    for row in data[60:90]:
+        row[0] = row[1] = None
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(data)], "id int, a double, b double, c double")
+    trace = {}
+    got = np.array([list(r)[1:] for r in knn_impute(df, ["a", "b", "c"], 5, cell_rows=20, trace=trace).orderBy("id").collect()], dtype=float)
+    want = brute_knn_some(data, 5, range(90))
+    assert np.allclose(got, want)
+    assert trace["probes"] == 90 and trace["cells"] > 60
+    # most pairs of a probe and a cell are never looked at
+    assert trace["visited"] < 0.4 * trace["probes"] * trace["cells"]
+
+
+def brute_knn_some(data, k, which):
+    x = np.array([[np.nan if v is None else v for v in row] for row in data], dtype=float)
+    out = x.copy()
+    for i in which:
+        for t in np.flatnonzero(np.isnan(x[i])):
+            both = ~np.isnan(x) & ~np.isnan(x[i])
+            ok = ~np.isnan(x[:, t]) & both.any(1)
+            dist = np.where(both, (x - x[i]) ** 2, 0).sum(1) * x.shape[1] / np.maximum(both.sum(1), 1)
+            near = sorted(zip(dist[ok], x[ok, t]))[:k]
+            out[i, t] = np.mean([v for _, v in near]) if near else np.nanmean(x[:, t])
+    return out
+
+
+def test_knn_without_donors(spark):
+    df = spark.createDataFrame([(1, None, None), (2, None, 4.0)], "id int, a double, b double")
+    assert [tuple(r) for r in knn_impute(df, ["a", "b"]).orderBy("id").collect()] == [(1, None, 4.0), (2, None, 4.0)]
+    assert knn_impute(df.where("id > 5"), ["a", "b"]).count() == 0
