@@ -28,21 +28,20 @@ def standardised(df: DataFrame, cols: Sequence[str], weight: str | None = None)
     """Columns centred and divided by the population deviation, rows counted by weight; NULL stays NULL.
 
     The mean comes first and the squares are those of the gaps to it, so that large values lose no digits.
+    All columns share one aggregate, or two with weights.
     """
-    out = df
-    for c in cols:
-        x = F.col(c).cast("double")
-        if weight is None:
-            known = df.agg(F.struct(F.avg(x).alias("mean"), F.stddev_pop(x).alias("dev"))).scalar()
-            mean, dev = known["mean"], known["dev"]
-        else:
-            w = F.when(x.isNotNull(), F.col(weight))
-            mean = df.agg(F.sum(x * w) / F.sum(w)).scalar()
-            gaps = df.withColumn("_gap", x - mean)
-            dev = gaps.agg(F.sqrt(F.sum(F.col("_gap") * F.col("_gap") * w) / F.sum(w))).scalar()
-        gap = x - mean
-        out = out.withColumn(c, F.when(gap.isNotNull(), F.coalesce(F.try_divide(gap, dev), F.lit(0.0))))
-    return out
+    numbers = {c: F.col(c).cast("double") for c in cols}
+    both = lambda kind, of: F.struct(*[of(c, x).alias(c) for c, x in numbers.items()]).alias(kind)
+    if weight is None:
+        known = df.agg(F.struct(both("mean", lambda c, x: F.avg(x)), both("dev", lambda c, x: F.stddev_pop(x))).alias("known")).scalar()
+        mean, dev = known["mean"], known["dev"]
+    else:
+        w = lambda x: F.when(x.isNotNull(), F.col(weight))
+        mean = df.agg(both("mean", lambda c, x: F.sum(x * w(x)) / F.sum(w(x)))).scalar()
+        spread = lambda c, x: F.sqrt(F.sum(F.pow(x - F.col("_mean")[c], F.lit(2.0)) * w(x)) / F.sum(w(x)))
+        dev = df.withColumn("_mean", mean).agg(both("dev", spread)).scalar()
+    gaps = {c: x - mean[c] for c, x in numbers.items()}
+    return df.withColumns({c: F.when(g.isNotNull(), F.coalesce(F.try_divide(g, dev[c]), F.lit(0.0))) for c, g in gaps.items()})
 
 
 def mllib_standardised(df: DataFrame, cols: Sequence[str], out: str = "scaled") -> DataFrame:

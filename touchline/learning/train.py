@@ -14,6 +14,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
@@ -25,6 +26,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from touchline.learning.gram import fold_of, learning_curve, linear_search
 from touchline.operators.relational import stable_draw
 
 SEED = 42
@@ -95,6 +97,7 @@ def slot_names(df: DataFrame, features: str = "features") -> list[str]:
 
 def regression_grids(seed: int = SEED) -> dict:
     """The three regressors with the parameter grids they are tuned over."""
+    # The iterations, trees, depths, bins and penalties of the published models.
     lr = LinearRegression(maxIter=5)
     dt = DecisionTreeRegressor(seed=seed)
     rf = RandomForestRegressor(numTrees=10, seed=seed)
@@ -158,6 +161,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(min(most, 1 + df.count() // ROWS_PER_TASK))
 
 
+def _penalties(estimator, grid: Sequence[dict]) -> list[tuple[float, float]]:
+    """(penalty, mixing) of each entry if the grid is one of a linear model's penalties only, else none."""
+    if not isinstance(estimator, LinearRegression) or any({p.name for p in entry} - {"regParam", "elasticNetParam"} for entry in grid):
+        return []
+    of = lambda entry, param: float(entry.get(param, estimator.getOrDefault(param)))
+    return [(of(e, estimator.regParam), of(e, estimator.elasticNetParam)) for e in grid]
+
+
 def train_regressors(
     train: DataFrame,
     test: DataFrame,
@@ -173,21 +184,29 @@ def train_regressors(
     """Tune each regressor by cross-validation on RMSE and score it on the test rows.
 
     The features are assembled once per target and cached for all fits. A grid of
-    one entry is fitted with it; choosing among several needs at least two folds.
+    one entry is fitted with it; choosing among several needs at least two folds,
+    which follow a hash of the rows. Penalties of the linear model are chosen from
+    sums of products, in one scan for all of them and all folds.
     """
     if folds < 2 and any(len(grid) > 1 for _, grid in (grids or regression_grids(seed)).values()):
         raise ValueError("choosing among several settings needs at least two folds")
     prepared: PipelineModel = feature_pipeline(numeric, categorical, impute=impute).fit(train)
     cols = ["features", F.col(label).cast("double").alias("label")]
-    fit_on = spread(prepared.transform(train).where(F.col(label).isNotNull()).select(*cols)).persist()
+    fold = fold_of(max(folds, 1), vector_to_array("features"), F.col("label")).alias("fold")
+    fit_on = spread(prepared.transform(train).where(F.col(label).isNotNull()).select(*cols)).select("*", fold).persist()
+    few = fit_on.select("fold").distinct().count() < folds  # then the folds must be drawn row by row
     score_on = prepared.transform(test).where(F.col(label).isNotNull()).select(*cols).persist()
     names = slot_names(fit_on)
     fitted = []
     for name, (estimator, grid) in (grids or regression_grids(seed)).items():
-        if len(grid) > 1:
+        penalties = _penalties(estimator, grid)
+        if len(grid) > 1 and penalties:
+            _, _, best = linear_search(fit_on, "label", F.col("fold"), folds, penalties)
+            model = estimator.fit(fit_on, grid[penalties.index(best)])
+        elif len(grid) > 1:
             search = CrossValidator(
                 estimator=estimator, estimatorParamMaps=grid, evaluator=RegressionEvaluator(metricName="rmse"),
-                numFolds=folds, parallelism=parallelism, seed=seed,
+                numFolds=folds, parallelism=parallelism, seed=seed, foldCol="" if few else "fold",
             )
             model = search.fit(fit_on).bestModel
         else:
@@ -307,20 +326,52 @@ def train_classifiers(
 
 def runtime_by_fraction(
     df: DataFrame, targets: Sequence[str], numeric: Sequence[str], categorical: Sequence[str],
-    fractions: Sequence[float] = (0.001, 0.01, 0.1, 1.0), seed: int = SEED, **options,
+    fractions: Sequence[float] = (0.001, 0.01, 0.1, 1.0), seed: int = SEED, ids: Sequence[str] | None = None, **options,
 ) -> DataFrame:
-    """Train on growing samples and report rows, seconds and the best RMSE of each."""
-    rows = []
+    """Train on growing nested samples and report rows, seconds and the best RMSE of each.
+
+    A sample holds the rows whose hash of the ids (all columns unless named) is below
+    its fraction, so that a larger one holds all smaller ones. A strategy of the other
+    side is no input.
+    """
+    rows, ids = [], list(ids or df.columns)
+    draw = stable_draw(seed + 1, *[F.col(i) for i in ids])
     for fraction in fractions:
-        part = df if fraction >= 1 else df.sample(False, fraction, seed)
+        part = df if fraction >= 1 else df.where(draw < fraction)
         start = time.perf_counter()
-        best = None
-        train, test = random_split(part, seed=seed)
+        scores = []
+        train, test = stable_split(part, ids, seed=seed)
         for target in targets:
-            drop = [c for c in categorical if c.startswith("strategy_") and not c.endswith(target.split("_")[-1])]
-            own = [c for c in categorical if c not in drop]
-            scores = [f.metrics["rmse"] for f in train_regressors(train, test, target, numeric, own, **options)]
-            best = min([*scores, *([best] if best is not None else [])])
+            own = own_side(categorical, target)
+            scores += [f.metrics["rmse"] for f in train_regressors(train, test, target, numeric, own, **options)]
         seconds = time.perf_counter() - start
-        rows.append((float(fraction), part.count(), seconds, float(best)))
+        rows.append((float(fraction), part.count(), seconds, float(min(scores))))
     return df.sparkSession.createDataFrame(rows, "fraction double, rows bigint, seconds double, rmse double")
+
+
+def own_side(categorical: Sequence[str], target: str) -> list[str]:
+    """The categories without the strategy of the side that the target isn't of."""
+    side = next((s for s in ("home", "away") if s in target.split("_")), None)
+    other = {"home": "away", "away": "home"}.get(side)
+    return [c for c in categorical if not ("strategy" in c and other in c.split("_"))]
+
+
+def linear_curve(
+    df: DataFrame, targets: Sequence[str], numeric: Sequence[str], categorical: Sequence[str], ids: Sequence[str],
+    fractions: Sequence[float] = (0.001, 0.01, 0.1, 1.0), seed: int = SEED, folds: int = 3,
+) -> DataFrame:
+    """Learning curve of the tuned linear model: target, fraction, rows, rmse. One scan of the rows for each target.
+
+    Samples are nested as in `runtime_by_fraction`; each is tuned by cross-validation
+    and scored on the same test rows.
+    """
+    draw = stable_draw(seed + 1, *[F.col(i) for i in ids])
+    grid = _penalties(*regression_grids(seed)["LinearRegression"])
+    out = []
+    train, test = stable_split(df, ids, seed=seed)
+    for target in targets:
+        prepared = feature_pipeline(numeric, own_side(categorical, target)).fit(train)
+        fold = fold_of(folds, *[F.col(i) for i in ids])
+        curve = learning_curve(prepared.transform(train), target, draw, fractions, fold, folds, grid, prepared.transform(test))
+        out += [(target, *point) for point in curve]
+    return df.sparkSession.createDataFrame(out, "target string, fraction double, rows bigint, rmse double")
