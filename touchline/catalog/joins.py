@@ -41,12 +41,12 @@ def semi_cascade_counts(spark, sf):
 @query(
     "or_semi",
     """
-SELECT club_id, name FROM clubs WHERE club_id IN (SELECT home_club_id FROM games WHERE season = 1998)
-   OR club_id IN (SELECT away_club_id FROM games WHERE season = 1998)
+SELECT club_id, name FROM clubs WHERE club_id IN (SELECT home_club_id FROM games WHERE competition_type = 'domestic_league')
+   OR club_id IN (SELECT away_club_id FROM games WHERE competition_type = 'domestic_league')
 """,
 )
 def or_semi(spark, sf):
-    g = games(spark, sf).where("season = 1998")
+    g = games(spark, sf).where("competition_type = 'domestic_league'")
     return keep_known_either(clubs(spark, sf), "club_id", g, ["home_club_id", "away_club_id"]).select("club_id", "name")
 
 
@@ -54,13 +54,13 @@ def or_semi(spark, sf):
     "left_join_players",
     """
 SELECT a.game_id, a.player_id, a.date, p.height_in_cm, count(*) AS n
-FROM appearances a LEFT JOIN players p ON a.player_id = p.player_id AND p.height_in_cm >= 25
+FROM appearances a LEFT JOIN players p ON a.player_id = p.player_id
 GROUP BY ALL
 """,
 )
 def left_join_players(spark, sf):
-    tall = players(spark, sf).where("height_in_cm >= 25").select("player_id", "height_in_cm")
-    joined = appearances(spark, sf).join(tall, "player_id", "left")
+    heights = players(spark, sf).select("player_id", "height_in_cm")
+    joined = appearances(spark, sf).join(heights, "player_id", "left")
     return joined.groupBy("game_id", "player_id", "date", "height_in_cm").agg(F.count("*").alias("n"))
 
 

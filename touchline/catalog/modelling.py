@@ -18,6 +18,8 @@ from touchline.learning.cluster import (
     standardised,
     with_strategies,
 )
+from touchline.learning.gram import linear_search
+from touchline.learning.ols import absorbed_least_squares
 from touchline.learning.rules import association_rules, basket, most_significant, one_hot_items, pair_rules
 from touchline.learning.train import (
     benchmark,
@@ -25,6 +27,7 @@ from touchline.learning.train import (
     feature_pipeline,
     gradient_boosted,
     importance_table,
+    linear_curve,
     linear_model,
     metrics_table,
     regression_grids,
@@ -35,6 +38,7 @@ from touchline.learning.train import (
     train_classifiers,
     train_regressors,
 )
+from touchline.operators.impute import impute
 from touchline.operators.relational import outcome, stack_roles
 from touchline.operators.stats import attach
 from touchline.session import stage
@@ -200,24 +204,27 @@ def one_hot(spark, sf):
 
 # --- models on the game table --------------------------------------------------
 
+TARGETS = ["home_club_goals", "away_club_goals"]
 NUMERIC = ["season", "home_club_position", "away_club_position", "attendance"]
 CATEGORICAL = ["competition_id", "home_strategy"]
 
 
 def model_table(spark, sf):
-    """Complete games with a rule strategy per side, staged once for all fits."""
-    g = games(spark, sf).select(
-        "game_id", *NUMERIC, "competition_id", "home_club_goals", "away_club_goals",
+    """Games with a result and a rule strategy per side; an unknown number is the column's mean. Staged once for all fits."""
+    g = games(spark, sf).where("home_club_goals is not null").select(
+        "game_id", *NUMERIC, "home_club_id", "away_club_id", "competition_id", "home_club_goals", "away_club_goals",
         rule_strategy(F.col("home_club_formation"), "home").alias("home_strategy"),
         rule_strategy(F.col("away_club_formation"), "away").alias("away_strategy"),
     )
-    return stage(g.na.drop("any"), "model")
+    return stage(impute(g, NUMERIC[1:], "mean"), "model")
 
 
 MODEL_SQL = f"""
-WITH m AS (SELECT game_id, season, home_club_position, away_club_position, attendance, competition_id, home_club_goals, away_club_goals,
+WITH m AS (SELECT game_id, season, home_club_id, away_club_id, coalesce(home_club_position, avg(home_club_position) OVER ()) AS home_club_position,
+  coalesce(away_club_position, avg(away_club_position) OVER ()) AS away_club_position, coalesce(attendance, avg(attendance) OVER ()) AS attendance,
+  competition_id, home_club_goals, away_club_goals,
   {_case('home', 'home_club_formation')} AS home_strategy, {_case('away', 'away_club_formation')} AS away_strategy FROM games
-  WHERE home_club_position IS NOT NULL AND away_club_position IS NOT NULL AND attendance IS NOT NULL AND home_club_goals IS NOT NULL)
+  WHERE home_club_goals IS NOT NULL)
 """
 
 
@@ -322,10 +329,90 @@ def simple_regression(spark, sf):
     return terms.select("term", (F.round("estimate", 9) + F.lit(0.0)).alias("estimate"))
 
 
+# The inputs of the published linear model beside the clubs, which are absorbed.
+OLS_NUMERIC = (
+    "year", "pos_home", "pos_away", "seats", "attendance", "age_home", "age_away", "ntr_home", "ntr_away", "yellow", "red",
+    "height_home", "height_away", "val_home", "val_away", "assists",
+)
+OLS_FACTORS = ("strategy_home", "strategy_away", "league", "country")
+
+
+def _regression_rows(spark, sf):
+    """The training share of the clean games with totals of both sides and rule strategies."""
+    from touchline.catalog.whole import SETTINGS, _cleaned
+
+    g = _cleaned(spark, sf, SETTINGS)
+    both = {c: F.col(f"{c}_home") + F.col(f"{c}_away") for c in ("yellow", "red", "assists")}
+    g = g.withColumns(both | {f"strategy_{s}": rule_strategy(F.col(f"formation_{s}"), s) for s in ("home", "away")})
+    train, _ = stable_split(g, ["date", "home_id", "away_id", "goals_home", "goals_away"])
+    return absorbed_least_squares(
+        train, ["goals_home", "goals_away"], OLS_NUMERIC, OLS_FACTORS, ["home_id", "away_id"], ["date", "home_id", "away_id"]
+    )
+
+
 @query("coefficient_table")
 def coefficients(spark, sf):
-    terms, _ = linear_model(model_table(spark, sf), "home_club_goals", NUMERIC, ["competition_id", "home_strategy", "away_strategy"])
-    return terms
+    return _regression_rows(spark, sf).terms
+
+
+@query("match_residuals")
+def match_residuals(spark, sf):
+    return _regression_rows(spark, sf).rows
+
+
+@query(
+    "within_slopes",
+    MODEL_SQL
+    + """, d AS (SELECT attendance - avg(attendance) OVER (PARTITION BY home_club_id) AS x,
+  home_club_goals - avg(home_club_goals) OVER (PARTITION BY home_club_id) AS h,
+  away_club_goals - avg(away_club_goals) OVER (PARTITION BY home_club_id) AS a FROM m),
+s AS (SELECT sum(x * x) AS xx, sum(x * h) AS xh, sum(h * h) AS hh, sum(x * a) AS xa, sum(a * a) AS aa, count(*) AS n,
+  (SELECT count(DISTINCT home_club_id) FROM m) AS clubs FROM d),
+r AS (SELECT 'home_club_goals' AS label, xh / xx AS b, hh - xh * xh / xx AS e, xx, n, n - clubs - 1 AS freedom FROM s
+      UNION ALL SELECT 'away_club_goals', xa / xx, aa - xa * xa / xx, xx, n, n - clubs - 1 FROM s)
+SELECT label, 'attendance' AS term, round(b, 10) + 0.0 AS estimate, round(sqrt(e / freedom / xx), 10) AS std_error,
+  round(b / sqrt(e / freedom / xx), 5) + 0.0 AS t_value, n, freedom FROM r
+""",
+)
+def within_slopes(spark, sf):
+    out = absorbed_least_squares(model_table(spark, sf), ["home_club_goals", "away_club_goals"], ["attendance"], absorb=["home_club_id"]).terms
+    digits = {"estimate": 10, "std_error": 10, "t_value": 5}
+    return out.withColumns({c: F.round(c, d) + F.lit(0.0) for c, d in digits.items()}).drop("p_value")
+
+
+RIDGE = [(p, 0.0) for p in (1.0, 0.1, 0.01)]
+
+
+def _hash_fold(folds: int):
+    """Fold by the digest of the game, which SQL can state."""
+    return (F.conv(F.substring(F.md5(F.concat(F.col("game_id").cast("string"), F.lit(":fold"))), 1, 8), 16, 10).cast("bigint") % folds).cast("int")
+
+
+@query(
+    "ridge_folds",
+    MODEL_SQL
+    + """, f AS (SELECT attendance AS u, season::DOUBLE AS v, home_club_goals::DOUBLE AS y,
+  (('0x' || substr(md5(game_id || ':fold'), 1, 8))::BIGINT % 3)::INTEGER AS fold FROM m),
+k AS (SELECT unnest([0, 1, 2])::INTEGER AS fold),
+t AS (SELECT k.fold, avg(u) AS mu, avg(v) AS mv, avg(y) AS my, stddev_pop(u) AS su, stddev_pop(v) AS sv, stddev_pop(y) AS sy,
+  covar_pop(u, v) AS cuv, covar_pop(u, y) AS cuy, covar_pop(v, y) AS cvy FROM k JOIN f ON f.fold <> k.fold GROUP BY k.fold),
+g AS (SELECT unnest([1.0, 0.1, 0.01])::DOUBLE AS penalty),
+c AS (SELECT *, 1 + penalty / sy AS d, cuv / su / sv AS r, cuy / su AS p, cvy / sv AS q FROM t, g),
+b AS (SELECT fold, penalty, mu, mv, my, (p * d - q * r) / (d * d - r * r) / su AS bu, (q * d - p * r) / (d * d - r * r) / sv AS bv FROM c)
+SELECT penalty, 0.0::DOUBLE AS mixing, b.fold, count(*) AS rows, round(sqrt(avg(pow(y - my - bu * (u - mu) - bv * (v - mv), 2))), 8) AS rmse
+FROM b JOIN f ON f.fold = b.fold GROUP BY penalty, b.fold
+""",
+)
+def ridge_folds(spark, sf):
+    m = model_table(spark, sf).withColumn("features", F.array(F.col("attendance").cast("double"), F.col("season").cast("double")))
+    table, _, _ = linear_search(m, "home_club_goals", _hash_fold(3), 3, RIDGE)
+    return table.withColumn("rmse", F.round("rmse", 8))
+
+
+@query("linear_curve")
+def curve(spark, sf):
+    categories = ["competition_id", "home_strategy", "away_strategy"]
+    return linear_curve(model_table(spark, sf), TARGETS, NUMERIC, categories, ["game_id"])
 
 
 @query(
@@ -351,20 +438,19 @@ def _trained(spark, sf, targets, grids, folds=3):
 
 @query("train_regression")
 def train_regression(spark, sf):
-    return metrics_table(spark, _trained(spark, sf, ["home_club_goals", "away_club_goals"], regression_grids()))
+    return metrics_table(spark, _trained(spark, sf, TARGETS, regression_grids()))
 
 
 @query("train_boosted")
 def train_boosted(spark, sf):
-    return metrics_table(spark, _trained(spark, sf, ["home_club_goals"], gradient_boosted()))
+    return metrics_table(spark, _trained(spark, sf, TARGETS, gradient_boosted()))
 
 
 @query("importances")
 def forest_importances(spark, sf):
-    from pyspark.ml.regression import RandomForestRegressor
-
-    grids = {"RandomForest": (RandomForestRegressor(numTrees=10, seed=42), [{}])}
-    return importance_table(spark, _trained(spark, sf, ["home_club_goals"], grids))
+    """Of the tuned trees and forests of both targets."""
+    grids = {n: g for n, g in regression_grids().items() if n != "LinearRegression"}
+    return importance_table(spark, _trained(spark, sf, TARGETS, grids))
 
 
 @query("train_classifier")
@@ -376,12 +462,8 @@ def train_classifier(spark, sf):
 
 @query("runtime_by_fraction")
 def by_fraction(spark, sf):
-    from pyspark.ml.regression import LinearRegression
-
-    grids = {"LinearRegression": (LinearRegression(maxIter=5), [{}])}
-    return runtime_by_fraction(
-        model_table(spark, sf), ["home_club_goals"], NUMERIC, ["competition_id", "home_strategy"], (0.1, 1.0), grids=grids
-    )
+    """The published job: four nested samples, three tuned models, both targets."""
+    return runtime_by_fraction(model_table(spark, sf), TARGETS, NUMERIC, ["competition_id", "home_strategy", "away_strategy"], ids=["game_id"])
 
 
 @query("predictions")
@@ -403,8 +485,21 @@ def persisted(spark, sf):
     return kept[0].select(F.lit(True).alias("in_train"), "n").unionByName(kept[1].select(F.lit(False).alias("in_train"), "n"))
 
 
-@query("slot_names")
+@query(
+    "slot_names",
+    MODEL_SQL
+    + """, c AS (SELECT 'competition_id' AS col, competition_id AS v, count(*) AS n FROM m GROUP BY ALL UNION ALL SELECT 'home_strategy', home_strategy, count(*) FROM m GROUP BY ALL),
+o AS (SELECT col, v, row_number() OVER (PARTITION BY col ORDER BY n DESC, v) - 1 AS i, count(*) OVER (PARTITION BY col) AS width FROM c),
+first AS (SELECT count(DISTINCT competition_id) AS width FROM m)
+SELECT (CASE col WHEN 'competition_id' THEN 4 + i ELSE 4 + i + (SELECT width FROM first) END)::INTEGER AS slot, col || '_vec_' || v AS name, n AS rows FROM o JOIN c USING (col, v)
+UNION ALL SELECT unnest([0, 1, 2, 3])::INTEGER, unnest(['season', 'home_club_position', 'away_club_position', 'attendance']), (SELECT count(*) FROM m)
+""",
+)
 def slots(spark, sf):
+    """Each slot of the feature vector by name, and the rows in which it is not 0 (or all rows, of a number)."""
     m = model_table(spark, sf)
-    names = slot_names(feature_pipeline(NUMERIC, CATEGORICAL).fit(m).transform(m))
-    return m.select(F.posexplode(F.array(*[F.lit(n) for n in names])).alias("slot", "name")).distinct()
+    out = feature_pipeline(NUMERIC, CATEGORICAL).fit(m).transform(m)
+    names = spark.createDataFrame(list(enumerate(slot_names(out))), "slot int, name string")
+    x = F.posexplode(vector_to_array("features"))
+    used = out.select(x.alias("slot", "x")).groupBy("slot").agg(F.sum(F.when((F.col("x") != 0) | (F.col("slot") < len(NUMERIC)), 1).otherwise(0)).alias("rows"))
+    return names.join(used, "slot")

@@ -24,7 +24,7 @@ ORIGIN_ROWS = 1000
 MERGE_FAN_IN = 256
 
 
-def _added(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def added(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Element by element sum of `values` per key."""
     plus = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
     listed = df.groupBy(*keys).agg(F.collect_list("values").alias("_all"))
@@ -48,11 +48,15 @@ class Sums:
         return self.groups.sum(0)
 
 
-def sums_by_group(df: DataFrame, label: str, group: Column, groups: int, features: str = "features") -> Sums:
-    """The sums of each group number from 0; `features` is a vector or an array. Rows without a label don't count."""
+def sums_by_group(df: DataFrame, label: str | None, group: Column, groups: int, features: str = "features") -> Sums:
+    """The sums of each group number from 0; `features` is a vector or an array. Rows without a label don't count.
+
+    With no label the last column of the sums is that of zeros.
+    """
     kind = df.schema[features].dataType.typeName()
     x = F.col(features) if kind == "array" else vector_to_array(features)
-    rows = df.where(F.col(label).isNotNull()).select(group.cast("long").alias("group"), F.concat(x, F.array(F.col(label).cast("double"))).alias("x"))
+    y = F.lit(0.0) if label is None else F.col(label).cast("double")
+    rows = df.where(y.isNotNull()).select(group.cast("long").alias("group"), F.concat(x, F.array(y)).alias("x"))
     some = rows.select("x").limit(ORIGIN_ROWS).toArrow().column("x").combine_chunks()
     if not len(some):
         return Sums(np.zeros(0), np.zeros((groups, 0, 0)))
@@ -78,7 +82,7 @@ def sums_by_group(df: DataFrame, label: str, group: Column, groups: int, feature
 
     parts = rows.mapInArrow(run, "group long, row long, values array<double>")
     some_tasks = F.pmod(F.spark_partition_id(), F.lit(MERGE_FAN_IN)).alias("part")
-    merged = _added(_added(parts.select("*", some_tasks), ["group", "row", "part"]), ["group", "row"])
+    merged = added(added(parts.select("*", some_tasks), ["group", "row", "part"]), ["group", "row"])
     out = np.zeros((groups, width + 1, width + 1))
     for r in merged.collect():
         out[r["group"], r["row"]] = r["values"]

@@ -10,14 +10,16 @@ rows. All columns and all labels are swept together.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from touchline.learning.gram import MOST_FEATURES, sums_by_group
+from touchline.learning.gram import MOST_FEATURES, added, sums_by_group
 from touchline.session import stage
 
 #: Sweeps end when no group mean is above this share of its column's deviation.
@@ -91,35 +93,67 @@ def _components(cells: DataFrame, factors: Sequence[str]) -> int:
             return mark.select("_mark").distinct().count()
 
 
-def absorbed(rows: DataFrame, columns: Sequence[str], factors: Sequence[str]) -> tuple[DataFrame, int]:
-    """The rows with each column less what the factors (no constant with none) explain; and the parameters that took.
+def _partial_sums(keys: Sequence[str]):
+    """Of each batch the weighted sums of the vectors `v` per key, with the weight in front."""
 
-    Rows with a NULL among them must be gone.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            w = batch.column("_n").to_numpy(zero_copy_only=False).astype(float)
+            v = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+            codes = np.zeros(n, np.int64)
+            for k in keys:
+                one = batch.column(k).dictionary_encode()
+                codes = np.unique(codes * len(one.dictionary) + one.indices.to_numpy(zero_copy_only=False), return_inverse=True)[1].astype(np.int64)
+            order = np.argsort(codes, kind="stable")
+            edges = np.searchsorted(codes[order], np.arange(codes.max() + 1))
+            sums = np.add.reduceat(np.column_stack([w, v * w[:, None]])[order], edges, axis=0)
+            held = batch.take(pa.array(order[edges]))
+            yield pa.RecordBatch.from_arrays([*[held.column(k) for k in keys], pa.array(sums.tolist(), pa.list_(pa.float64()))], names=[*keys, "values"])
+
+    return run
+
+
+def _means(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Weight (`_n`) and weighted mean (`v`) of the vectors of each key; summed up in each batch before they move."""
+    kinds = T.StructType([*[df.schema[k] for k in keys], T.StructField("values", T.ArrayType(T.DoubleType()))])
+    sums = added(df.select(*keys, "_n", "v").mapInArrow(_partial_sums(keys), kinds), keys)
+    total = F.col("values")[0]
+    return sums.select(*keys, total.alias("_n"), F.transform(F.slice("values", 2, F.size("values") - 1), lambda x: x / total).alias("v"))
+
+
+def _less(a: str, b: str) -> Column:
+    return F.zip_with(a, b, lambda x, y: x - y)
+
+
+def absorbed(rows: DataFrame, factors: Sequence[str]) -> tuple[DataFrame, int]:
+    """The rows with each element of `v` less what the factors (no constant with none) explain; and the parameters that took.
+
+    Rows with a NULL among them must be gone. A sweep subtracts the means of each
+    factor in turn; one factor needs one.
     """
-    if not factors:
-        factors = ["_constant"]
-        rows = rows.withColumn("_constant", F.lit(0))
-    cells = rows.groupBy(*factors).agg(F.count("*").alias("_n"), *[F.avg(c).alias(c) for c in columns])
-    cells = stage(cells, "cells")
-    spread = rows.agg(*[F.stddev_pop(c).alias(c) for c in columns]).first()
-    rest = cells
+    factors = list(factors) or ["_constant"]
+    rows = rows.withColumn("_constant", F.lit(0)) if factors == ["_constant"] else rows
+    cells = stage(_means(rows.withColumn("_n", F.lit(1.0)), factors), "cells")
+    square = _means(rows.select(F.lit(0).alias("one"), F.lit(1.0).alias("_n"), F.transform("v", lambda x: x * x).alias("v")), ["one"]).first()
+    size = F.array(*[F.lit(math.sqrt(x) or 1.0) for x in (square["v"] if square else [])])
+    rest = cells.withColumn("worst", F.lit(0.0))
     for sweep in range(MOST_SWEEPS):
-        worst = 0.0
-        for f in factors:
-            means = stage(rest.groupBy(f).agg(*[(F.sum(F.col(c) * F.col("_n")) / F.sum("_n")).alias(f"_m_{c}") for c in columns]), "means")
-            largest = means.agg(*[F.max(F.abs(f"_m_{c}")).alias(c) for c in columns]).first()
-            if sweep or f != factors[0]:
-                worst = max([worst, *(largest[c] / spread[c] for c in columns if spread[c])])
-            rest = rest.join(means, f).select(*factors, "_n", *[(F.col(c) - F.col(f"_m_{c}")).alias(c) for c in columns])
+        for i, f in enumerate(factors):
+            means = _means(rest, [f]).select(f, F.col("v").alias("_m"))
+            shares = F.zip_with("_m", size, lambda m, s: F.abs(m) / s)
+            left = F.greatest(F.lit(0.0) if i < 2 else F.col("worst"), F.array_max(shares)) if i else F.lit(0.0)
+            rest = rest.join(means, f).select(*factors, "_n", _less("v", "_m").alias("v"), left.alias("worst"))
         rest = stage(rest, "rest")
-        if len(factors) == 1 or (sweep and worst < TOLERANCE):
+        if len(factors) == 1 or (rest.agg(F.max("worst")).first()[0] or 0.0) < TOLERANCE:
             break
-    taken = cells.join(rest.select(*factors, *[F.col(c).alias(f"_r_{c}") for c in columns]), list(factors))
-    taken = taken.select(*factors, *[(F.col(c) - F.col(f"_r_{c}")).alias(f"_t_{c}") for c in columns])
-    out = rows.join(taken, list(factors)).withColumns({c: F.col(c) - F.col(f"_t_{c}") for c in columns})
+    taken = cells.join(rest.select(*factors, F.col("v").alias("_r")), factors).select(*factors, _less("v", "_r").alias("_t"))
+    out = rows.join(taken, factors).withColumn("v", _less("v", "_t")).drop("_t", "_constant")
     levels = sum(cells.select(f).distinct().count() for f in factors)
     parameters = levels - (_components(cells, factors) if len(factors) == 2 else 0) - max(0, len(factors) - 2)
-    return out.drop(*[f"_t_{c}" for c in columns], "_constant"), parameters
+    return out, parameters
 
 
 @dataclass
@@ -154,29 +188,27 @@ def absorbed_least_squares(
     used = df.select(*dict.fromkeys([*numeric, *categorical, *absorb, *labels, *keep])).na.drop("any", subset=[*numeric, *categorical, *absorb, *labels])
     used = stage(used, "regression")
     columns = _columns(used, numeric, categorical)
-    names = {f"x{i}": c for i, c in enumerate(columns.values())} | {f"y{i}": F.col(c).cast("double") for i, c in enumerate(labels)}
+    p = len(columns)
     factors = [f"f{i}" for i in range(len(absorb))]
-    wide = used.select(*[F.col(c).alias(f"f{i}") for i, c in enumerate(absorb)], *[c.alias(n) for n, c in names.items()], *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
-    raw = wide.agg(*[F.sum(F.pow(F.col(f"x{i}"), F.lit(2.0))).alias(f"x{i}") for i in range(len(columns))]).first()
-    rest, taken = absorbed(wide, list(names), factors)
+    vector = F.array(*columns.values(), *[F.col(c).cast("double") for c in labels]).alias("v")
+    wide = used.select(*[F.col(c).alias(f) for c, f in zip(absorb, factors, strict=True)], vector, *[F.col(c).alias(f"k{i}") for i, c in enumerate(keep)])
+    raw = sums_by_group(wide, None, F.lit(0), 1, "v")
+    rest, taken = absorbed(wide, factors)
     rest = stage(rest, "absorbed")
-    x = [f"x{i}" for i in range(len(columns))]
     spark, table, fits = df.sparkSession, [], {}
-    with_all = rest.select(F.array(*[F.col(c) for c in [*x, *[f"y{i}" for i in range(1, len(labels))]]]).alias("features"), F.col("y0"))
-    sums = sums_by_group(with_all, "y0", F.lit(0), 1)
+    sums = sums_by_group(rest, None, F.lit(0), 1, "v")
     n = int(sums.total[0, 0]) if sums.total.size else 0
     if n:
         # plain products: the columns' means are 0 once a constant is absorbed
         mean = sums.total[0, 1:] / n
-        product = sums.total[1:, 1:] - n * np.outer(mean, mean)
-        p = len(x)
+        product = (sums.total[1:, 1:] - n * np.outer(mean, mean))[:-1, :-1]
         gram = product[:p, :p]
-        kept = _kept(gram, np.array([raw[c] for c in x]))
+        kept = _kept(gram, np.diag(raw.total)[1 : p + 1] + n * raw.origin[:p] ** 2)
         unit = np.sqrt(np.diag(gram)[kept])
         inverse = np.linalg.inv(gram[np.ix_(kept, kept)] / np.outer(unit, unit)) / np.outer(unit, unit) if kept else np.zeros((0, 0))
         freedom = n - len(kept) - taken
         for i, label in enumerate(labels):
-            y = len(product) - 1 if i == 0 else p + i - 1
+            y = p + i
             beta = inverse @ product[kept, y]
             error = max(0.0, product[y, y] - product[kept, y] @ beta)
             variance = error / freedom if freedom > 0 else float("nan")
@@ -188,11 +220,11 @@ def absorbed_least_squares(
                     table.append((label, term, b, se, t, two_sided_p(t, freedom) if t == t else float("nan"), n, freedom))
                 else:
                     table.append((label, term, None, None, None, None, n, freedom))
-            fits[label] = sum((F.col(f"x{j}") * F.lit(float(b)) for j, b in zip(kept, beta, strict=True)), F.lit(0.0))
+            fits[label] = sum((F.col("v")[j] * F.lit(float(b)) for j, b in zip(kept, beta, strict=True)), F.lit(0.0))
     terms = spark.createDataFrame(table, "label string, term string, estimate double, std_error double, t_value double, p_value double, n long, freedom long")
     # a residual is the same before and after absorbing, so the fit is the label less it
     ids = [F.col(f"k{i}").alias(c) for i, c in enumerate(keep)]
-    each = [rest.select(*ids, F.lit(c).alias("label"), (F.col(f"y{i}") - fits.get(c, F.lit(0.0))).alias("residual")) for i, c in enumerate(labels)]
+    each = [rest.select(*ids, F.lit(c).alias("label"), (F.col("v")[p + i] - fits.get(c, F.lit(0.0))).alias("residual")) for i, c in enumerate(labels)]
     rows = each[0]
     for one in each[1:]:
         rows = rows.unionByName(one)
