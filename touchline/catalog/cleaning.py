@@ -21,7 +21,6 @@ from touchline.functions import (
     replace_value,
     to_number,
 )
-from touchline.functions.text import PLAIN_LETTERS
 from touchline.operators.relational import side_join
 from touchline.learning.rules import basket
 
@@ -158,12 +157,8 @@ def casts_and_replace(spark, sf):
 
 
 def _plain_sql(col: str) -> str:
-    one = {k: v for k, v in PLAIN_LETTERS.items() if len(v) == 1}
-    text = f"translate({col}, '{''.join(one)}', '{''.join(one.values())}')"
-    for letter, plain in PLAIN_LETTERS.items():
-        if len(plain) > 1:
-            text = f"replace({text}, '{letter}', '{plain}')"
-    return f"regexp_replace(strip_accents({text}), '[^\\x00-\\x7F]', '', 'g')"
+    """Letters with marks of Western European languages, and those without a base letter."""
+    return f"replace(replace(replace(translate(strip_accents({col}), 'ıłŁøØđĐ', 'ilLoOdD'), 'ß', 'ss'), 'æ', 'ae'), 'Æ', 'Ae')"
 
 
 @query("fold_accents", f"SELECT player_id, {_plain_sql('country_of_citizenship')} AS country FROM players")
@@ -171,6 +166,24 @@ def accents(spark, sf):
     return players(spark, sf).select("player_id", fold_accents(F.col("country_of_citizenship")).alias("country"))
 
 
+NAMES = ("Москва – ‘Łódź’", "Ολυμπιακός", "Αθήνα", "Щукин", "Ђоковић", "Šibenik", "Müller & Søn", "«Зенит»…", "東京")
+
+
+@query(
+    "transliterate",
+    """
+SELECT p_partkey AS player_id, ['Moskva - \'\'Lodz\'\'', 'Olybiakos', 'Athina', 'Shchukin', 'Djokovic', 'Sibenik', 'Muller & Son', '"Zenit"...', '東京'][p_partkey % 9 + 1]
+  || ' ' || p_name AS name FROM part
+""",
+    linked_tables=False,
+)
+def transliterated_names(spark, sf):
+    """Names of players behind those of clubs in several alphabets."""
+    club = F.element_at(F.array(*[F.lit(n) for n in NAMES]), (F.col("p_partkey") % len(NAMES) + 1).cast("int"))
+    parts = table(spark, sf, "part")
+    return parts.select(F.col("p_partkey").alias("player_id"), fold_accents(F.concat(club, F.lit(" "), F.col("p_name"))).alias("name"))
+
+
 @query("fold_accents_documents", f"SELECT doc_id, {_plain_sql('text')} AS plain FROM documents", linked_tables=False)
 def accents_documents(spark, sf):
     return table(spark, sf, "documents").select("doc_id", fold_accents(F.col("text")).alias("plain"))

@@ -2,18 +2,10 @@
 
 from __future__ import annotations
 
-import unicodedata
-
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-# Letters that do not decompose into a base letter plus a mark.
-PLAIN_LETTERS = {
-    "ı": "i", "ł": "l", "Ł": "L", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ß": "ss",
-    "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ð": "d", "Ð": "D", "þ": "th", "Þ": "Th",
-}
+from touchline.functions.transliterate import transliterate
 
 
 def contains_ignoring_case(c: Column, needle: str) -> Column:
@@ -26,25 +18,6 @@ def contains_flag(c: Column, needle: str) -> Column:
     return F.coalesce(c.contains(needle), F.lit(False)).cast("int")
 
 
-@F.pandas_udf(StringType())
-def _strip_marks(texts: pd.Series) -> pd.Series:
-    def plain(text):
-        if text is None or text.isascii():
-            return text
-        return unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii")
-
-    return texts.map(plain)
-
-
 def fold_accents(c: Column) -> Column:
-    """Text in plain ASCII letters.
-
-    Letters without a decomposition are mapped by ``translate``/``replace`` in
-    the JVM; only the Unicode decomposition itself runs in an Arrow batch.
-    """
-    single = {k: v for k, v in PLAIN_LETTERS.items() if len(v) == 1}
-    text = F.translate(c, "".join(single), "".join(single.values()))
-    for letter, plain in PLAIN_LETTERS.items():
-        if len(plain) > 1:
-            text = F.replace(text, F.lit(letter), F.lit(plain))
-    return _strip_marks(text)
+    """Text in plain letters; those of alphabets without a table keep their letters and lose their marks."""
+    return transliterate(c)
