@@ -6,7 +6,9 @@ import pytest
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
-from touchline.learning.cluster import LINES, fit_strategies, formation_lines, pca_plane, silhouette, standardised, with_strategies
+from touchline.learning.cluster import (
+    LINES, best_clustering, fit_strategies, formation_lines, pca_plane, silhouette, squared_silhouette, standardised, with_strategies,
+)
 from touchline.learning.rules import association_rules, basket, most_significant, pair_rules
 from touchline.learning.train import (
     class_metrics, evaluate_regression, feature_pipeline, importances, linear_model, regression_grids,
@@ -153,3 +155,39 @@ def test_classifiers_and_runtime(table):
     grids = {"LinearRegression": (LinearRegression(maxIter=5), [{}])}
     report = runtime_by_fraction(table, ["y"], ["x"], ["c"], (0.5, 1.0), grids=grids).collect()
     assert [r["fraction"] for r in report] == [0.5, 1.0] and report[1]["rows"] == 400 and report[0]["rows"] < 400
+
+
+def test_clustering_finds_the_cheapest_division(spark):
+    rnd = random.Random(6)
+    for trial in range(4):
+        points = sorted({(float(rnd.randrange(5)), float(rnd.randrange(5))) for _ in range(8)})
+        weights = [rnd.randrange(1, 9) for _ in points]
+        df = spark.createDataFrame([(*p, w) for p, w in zip(points, weights)], "x double, y double, n int")
+        got = best_clustering(df, ["x", "y"], "n", 3)
+        x, w = np.array(points), np.array(weights, float)
+
+        def cost(own):
+            return sum(w[i] * ((x[i] - np.average(x[own == own[i]], axis=0, weights=w[own == own[i]])) ** 2).sum() for i in range(len(x)))
+
+        ways = (np.array([(code // 3**i) % 3 for i in range(len(x))]) for code in range(3 ** len(x)))
+        assert got.cost == pytest.approx(min(map(cost, ways)))
+        # each centre is the mean of the points nearest to it
+        own = ((x[:, None] - np.array(got.centres)[None]) ** 2).sum(2).argmin(1)
+        assert all(np.allclose(got.centres[c], np.average(x[own == c], axis=0, weights=w[own == c])) for c in set(own))
+    assert best_clustering(df.where("n > 100"), ["x", "y"], "n", 3).cost == 0.0
+
+
+def test_squared_silhouette_over_rows(spark):
+    rnd = random.Random(7)
+    pts = [(float(rnd.randrange(4)), float(rnd.randrange(4)), rnd.choice([0, 1, 2]), rnd.randrange(1, 4)) for _ in range(25)] + [(9.0, 9.0, 3, 1)]
+    df = spark.createDataFrame(pts, "x double, y double, prediction int, n int").withColumn("features", F.array("x", "y"))
+    rows = [(p[:2], p[2]) for p in pts for _ in range(p[3])]
+    x, labels = np.array([r[0] for r in rows]), [r[1] for r in rows]
+    d = ((x[:, None] - x[None]) ** 2).sum(2)
+    total = 0.0
+    for i, c in enumerate(labels):
+        mine = [j for j, o in enumerate(labels) if o == c and j != i]
+        if mine:
+            a, b = d[i, mine].mean(), min(d[i, [j for j, o in enumerate(labels) if o == z]].mean() for z in set(labels) - {c})
+            total += (b - a) / max(a, b) if max(a, b) else 0.0
+    assert squared_silhouette(df, weight="n").first()[0] == pytest.approx(total / len(rows))

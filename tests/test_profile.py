@@ -1,10 +1,14 @@
 import math
+import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from touchline.operators.aggregates import first_known, lineup_profile, text_counts, totals
-from touchline.operators.charts import auto_bins, box_stats, conditional_density, histogram, mean_interval
+from touchline.operators.charts import (
+    auto_bins, auto_histogram, bootstrap_interval, box_stats, conditional_density, density_grid, histogram, mean_interval,
+)
 from touchline.operators.profile import (
     agreement, argmax_abs, correlations, crosstab_wide, describe_numbers, describe_texts, distinct_counts,
     duplicate_rows, explicit_order, null_counts, table_diagnostics, value_counts, variable_kinds,
@@ -85,3 +89,39 @@ def test_box_and_interval(spark):
     assert m["a"]["mean"] == 22.0 and m["a"]["high"] == pytest.approx(22 + 1.96 * math.sqrt(sum((x - 22) ** 2 for x in xs) / 4) / math.sqrt(5))
     assert m["b"]["low"] is None
     assert df.where(F.col("k") == "none").transform(lambda d: box_stats(d, ["k"], "x")).count() == 0
+
+
+def test_bootstrap_covers_the_mean(spark):
+    """About 95 of 100 intervals hold the true mean, whatever the partitioning."""
+    rnd = random.Random(21)
+    data = [(g * 1000 + i, g, rnd.gauss(10, 3)) for g in range(150) for i in range(60)] + [(1, None, 5.0), (2, 3, None)]
+    df = spark.createDataFrame(data, "id long, g int, y double")
+    got = {r["g"]: r for r in bootstrap_interval(df, "g", "y", "id").collect()}
+    assert len(got) == 150 and got[3]["n"] == 60
+    assert 0.88 <= sum(r["low"] <= 10 <= r["high"] for r in got.values()) / 150 <= 0.99
+    widths = [(r["high"] - r["low"]) / 2 for r in got.values()]
+    assert sum(widths) / 150 == pytest.approx(1.96 * 3 / 60**0.5, rel=0.08)
+    again = {r["g"]: r for r in bootstrap_interval(df.repartition(7), "g", "y", "id").collect()}
+    assert all(again[g]["low"] == pytest.approx(r["low"]) for g, r in got.items())
+
+
+def test_grid_density_is_near_the_direct_sum(spark):
+    rnd = random.Random(22)
+    xs = [rnd.gauss(0, 1) for _ in range(500)] + [rnd.gauss(6, 0.5) for _ in range(300)]
+    df = spark.createDataFrame([(x,) for x in [*xs, None]], "x double")
+    grid = density_grid(df, "x", 0.4, 300).orderBy("point").collect()
+    direct = [sum(math.exp(-(((r["x"] - x) / 0.4) ** 2) / 2) for x in xs) / len(xs) / 0.4 / math.sqrt(2 * math.pi) for r in grid]
+    assert len(grid) == 300 and max(abs(r["density"] - d) for r, d in zip(grid, direct)) < 0.002 * max(direct)
+    assert sum(r["density"] for r in grid) * (grid[1]["x"] - grid[0]["x"]) == pytest.approx(1, abs=0.01)
+
+
+def test_automatic_bins(spark):
+    rnd = random.Random(23)
+    spread, flat = [rnd.gauss(0, 1) for _ in range(700)], [0.0] * 90 + [1.0] * 5 + [3.0]
+    for xs, rule in ((spread, "auto"), (flat, "sturges"), ([2.0, 2.0], "auto"), ([float(i) for i in range(100)], "auto")):
+        counts, edges = np.histogram(xs, rule)
+        got = {r["bin"]: (r["bin_start"], r["n"]) for r in auto_histogram(spark.createDataFrame([(x,) for x in xs], "x double"), "x").collect()}
+        assert sum(n for _, n in got.values()) == len(xs)
+        if max(xs) > min(xs):
+            assert {b: n for b, (_, n) in got.items()} == {i: c for i, c in enumerate(counts) if c}
+            assert all(start == pytest.approx(edges[b]) for b, (start, _) in got.items())

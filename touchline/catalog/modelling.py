@@ -16,6 +16,7 @@ from touchline.learning.cluster import (
     silhouette,
     squared_silhouette,
     standardised,
+    strategy_names,
     with_strategies,
 )
 from touchline.learning.gram import linear_search
@@ -82,27 +83,82 @@ ROLES = {
 }
 
 
-@query("kmeans_strategy")
+# Every way to divide the distinct points of the formations used into three clusters, and the cheapest of them.
+KMEANS_SQL = """
+WITH used AS (SELECT home_club_formation AS f FROM games UNION ALL SELECT away_club_formation FROM games),
+lists AS (SELECT f, coalesce(list_filter(string_split(f, '-'), lambda x: regexp_full_match(x, '[0-9]+')), []) AS s FROM used),
+lines AS (SELECT f, CASE WHEN len(s) IN (3, 4) THEN s[1]::INTEGER ELSE 4 END AS d,
+  CASE len(s) WHEN 3 THEN s[2]::INTEGER WHEN 4 THEN s[2]::INTEGER + s[3]::INTEGER ELSE 4 END AS m,
+  CASE len(s) WHEN 3 THEN s[3]::INTEGER WHEN 4 THEN s[4]::INTEGER ELSE 2 END AS a FROM lists),
+sc AS (SELECT avg(d) AS md, stddev_pop(d) AS sd, avg(m) AS mm, stddev_pop(m) AS sm, avg(a) AS ma, stddev_pop(a) AS sa FROM lines WHERE f IS NOT NULL),
+pt AS (SELECT d, m, a, (d - any_value(md)) / any_value(sd) AS x, (m - any_value(mm)) / any_value(sm) AS y, (a - any_value(ma)) / any_value(sa) AS z, count(*) AS w,
+  row_number() OVER (ORDER BY d, m, a) - 1 AS i FROM lines, sc WHERE f IS NOT NULL GROUP BY d, m, a),
+way AS (SELECT code, i, (code // (3 ** i)::BIGINT) % 3 AS c FROM range((3 ** (SELECT count(*) FROM pt))::BIGINT) AS r(code), pt),
+part AS (SELECT code, c, sum(w * (x * x + y * y + z * z)) - (pow(sum(w * x), 2) + pow(sum(w * y), 2) + pow(sum(w * z), 2)) / sum(w) AS cost,
+  sum(w * x) / sum(w) AS cx, sum(w * y) / sum(w) AS cy, sum(w * z) / sum(w) AS cz FROM way JOIN pt USING (i) GROUP BY code, c),
+best AS (SELECT code FROM part GROUP BY code HAVING count(*) = 3 ORDER BY round(sum(cost), 6), code LIMIT 1),
+centre AS (SELECT cx, cy, cz, row_number() OVER (ORDER BY cz) AS rank FROM part JOIN best USING (code)),
+form AS (SELECT DISTINCT f, d, m, a FROM lines),
+near AS (SELECT f, rank, cx, cy, cz, (d - md) / sd AS x, (m - mm) / sm AS y, (a - ma) / sa AS z FROM form, sc, centre
+  QUALIFY row_number() OVER (PARTITION BY f ORDER BY pow((d - md) / sd - cx, 2) + pow((m - mm) / sm - cy, 2) + pow((a - ma) / sa - cz, 2)) = 1)
+"""
+
+
+def _named_sql(names) -> str:
+    listed = ", ".join(f"'{n}'" for n in names)
+    return KMEANS_SQL + f", named AS (SELECT f, [{listed}][rank] AS name FROM near)"
+
+
+@query(
+    "kmeans_strategy",
+    _named_sql(("Defensive", "Aggressive", "Offensive"))
+    + """
+SELECT game_id, home_club_formation, away_club_formation, h.name AS strategy_home, v.name AS strategy_away
+FROM games LEFT JOIN named h ON h.f IS NOT DISTINCT FROM home_club_formation LEFT JOIN named v ON v.f IS NOT DISTINCT FROM away_club_formation
+""",
+)
 def kmeans(spark, sf):
     g = games(spark, sf).select("game_id", "home_club_formation", "away_club_formation")
     return with_strategies(g, {"home_club_formation": "strategy_home", "away_club_formation": "strategy_away"})
 
 
-@query("kmeans_quality")
+@query(
+    "kmeans_quality",
+    KMEANS_SQL
+    + """, uses AS (SELECT rank, x, y, z, count(*) AS w FROM used JOIN near ON used.f = near.f GROUP BY ALL),
+g AS (SELECT u.rank, u.x, u.y, u.z, u.w, o.rank AS other, sum(o.w) AS n, sum(o.w * (pow(u.x - o.x, 2) + pow(u.y - o.y, 2) + pow(u.z - o.z, 2))) AS s
+  FROM uses u, uses o GROUP BY ALL),
+ab AS (SELECT rank, x, y, z, w, max(n) FILTER (rank = other) AS n, max(s / nullif(n - 1, 0)) FILTER (rank = other) AS a, min(s / n) FILTER (rank <> other) AS b FROM g GROUP BY ALL),
+q AS (SELECT sum(w * CASE WHEN n <= 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) / sum(w) AS v FROM ab)
+SELECT rank::INTEGER AS rank, sum(w)::BIGINT AS n, round((SELECT v FROM q), 6) + 0.0 AS squared_silhouette,
+  round((SELECT sum(cost) FROM part JOIN best USING (code)), 6) + 0.0 AS cost FROM uses GROUP BY rank
+""",
+)
 def kmeans_quality(spark, sf):
-    _, labels = fit_strategies(games(spark, sf), ["home_club_formation", "away_club_formation"])
-    value = squared_silhouette(labels)
-    return labels.groupBy("prediction").agg(F.sum("n").alias("n")).withColumn("squared_silhouette", F.lit(value))
+    """Rows of each cluster in the order of attackers, the silhouette over all uses, and the cost, which no division undercuts."""
+    model, labels = fit_strategies(games(spark, sf), ["home_club_formation", "away_club_formation"])
+    value = squared_silhouette(labels, weight="n").scalar()
+    sizes = labels.where("n > 0").groupBy(strategy_names(model, (1, 2, 3)).cast("int").alias("rank")).agg(F.sum("n").alias("n"))
+    return rounded(sizes.withColumn("squared_silhouette", value).withColumn("cost", F.lit(model.cost)), "squared_silhouette", "cost")
 
 
-@query("cluster_profile")
+@query(
+    "cluster_profile",
+    _named_sql(("Defensive", "Balanced", "Aggressive"))
+    + """, long AS (SELECT game_id, home_club_formation AS formation, home_club_goals AS goals_scored, away_club_goals AS goals_conceded, 'home' AS team_type FROM games
+  UNION ALL SELECT game_id, away_club_formation, away_club_goals, home_club_goals, 'away' FROM games)
+SELECT game_id, formation, goals_scored, goals_conceded, team_type, name AS strategy,
+  round(avg(goals_scored) OVER (PARTITION BY name), 6) AS average_goals_scored_cluster, round(avg(goals_conceded) OVER (PARTITION BY name), 6) AS average_goals_conceded_cluster
+FROM long LEFT JOIN named ON named.f IS NOT DISTINCT FROM formation
+""",
+)
 def cluster_profile(spark, sf):
     long = stack_roles(games(spark, sf), "game_id", ROLES, "team_type")
     named = with_strategies(long, {"formation": "strategy"}, STRATEGIES_BALANCED)
     means = named.groupBy("strategy").agg(
         F.avg("goals_scored").alias("average_goals_scored_cluster"), F.avg("goals_conceded").alias("average_goals_conceded_cluster")
     )
-    return attach(named, means, ["strategy"])
+    return rounded(attach(named, means, ["strategy"]), "average_goals_scored_cluster", "average_goals_conceded_cluster")
 
 
 @query(

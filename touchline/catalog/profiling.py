@@ -6,8 +6,11 @@ from touchline.catalog.aggregates import _case
 from touchline.catalog.base import competitions, games, linked, query, rounded, table
 from touchline.functions import rule_strategy
 from touchline.operators.charts import (
+    auto_histogram,
+    bootstrap_interval,
     box_stats,
     conditional_density,
+    density_grid,
     histogram,
     kernel_density,
     mean_interval,
@@ -170,7 +173,31 @@ def kinds(spark, sf):
     return variable_kinds(o)
 
 
-@query("table_diagnostics")
+TABLE_TYPES = """
+games: game_id bigint, competition_id string, season int, date date, home_club_id bigint, away_club_id bigint, home_club_goals int, away_club_goals int,
+  home_club_position int, away_club_position int, attendance bigint, home_club_formation string, away_club_formation string, competition_type string, stadium string, home_club_name string
+clubs: club_id bigint, name string, domestic_competition_id string, average_age double, stadium_name string, stadium_seats int, net_transfer_record string
+competitions: competition_id string, name string, type string, country_name string
+game_events: game_id bigint, club_id bigint, player_id bigint, number int, minute int, type string, description string
+players: player_id bigint, name string, current_club_id bigint, date_of_birth string, height_in_cm double, sub_position string, foot string, market_value_in_eur double,
+  country_of_citizenship string
+appearances: game_id bigint, player_id bigint, player_club_id bigint, date date, assists int, goals int
+player_valuations: valuation_id bigint, player_id bigint, date date, market_value_in_eur double
+game_lineups: game_id bigint, club_id bigint, player_id bigint
+"""
+
+
+def _diagnostics_sql() -> str:
+    parts = []
+    for line in TABLE_TYPES.strip().replace("\n ", "").split("\n"):
+        name, fields = line.split(": ")
+        columns = [f.split() for f in fields.split(", ")]
+        for column, kind in columns:
+            parts.append(f"SELECT '{name}' AS \"table\", '{column}' AS \"column\", '{kind}' AS type, count(*) AS rows, {len(columns)} AS columns, count(*) - count({column}) AS nulls FROM {name}")
+    return "\nUNION ALL ".join(parts)
+
+
+@query("table_diagnostics", _diagnostics_sql())
 def diagnostics(spark, sf):
     return table_diagnostics(linked(spark, sf))
 
@@ -215,6 +242,63 @@ def kernel(spark, sf):
     return rounded(kernel_density(table(spark, sf, "events"), "value", POINTS, 2.0), "density")
 
 
+@query(
+    "density_grid",
+    """
+WITH e AS (SELECT min(value) - 6.0 AS lo, (max(value) - min(value) + 12.0) / 255 AS step, count(*) AS n FROM events),
+p AS (SELECT (value - lo) / step AS p FROM events, e),
+i AS (SELECT least(floor(p), 254) AS i, p FROM p),
+m AS (SELECT i, sum(m) AS m FROM (SELECT i, 1 - (p - i) AS m FROM i UNION ALL SELECT i + 1, p - i FROM i) GROUP BY i),
+g AS (SELECT unnest(range(256)) AS point)
+SELECT point, round(any_value(lo) + point * any_value(step), 6) + 0.0 AS x,
+  round(sum(m * exp(-pow((point - i) * step / 2.0, 2) / 2)) / any_value(n) / (2.0 * sqrt(2 * pi())), 6) + 0.0 AS density
+FROM g, m, e GROUP BY point
+""",
+    linked_tables=False,
+)
+def kernel_grid(spark, sf):
+    return rounded(density_grid(table(spark, sf, "events"), "value", 2.0), "x", "density")
+
+
+@query(
+    "histogram_auto",
+    """
+WITH e AS (SELECT min(attendance)::DOUBLE AS lo, max(attendance)::DOUBLE AS hi, count(attendance) AS n,
+  quantile_cont(attendance::DOUBLE, 0.75) - quantile_cont(attendance::DOUBLE, 0.25) AS q FROM games),
+w AS (SELECT lo, hi, ceil((hi - lo) / least(2 * q / pow(n, 1.0::DOUBLE / 3), (hi - lo) / (log2(n) + 1))) AS bins FROM e),
+b AS (SELECT lo + 0.0 AS lo, (hi - lo) / bins AS width, least(floor((attendance - lo) / ((hi - lo) / bins)), bins - 1)::INTEGER AS bin FROM games, w WHERE attendance IS NOT NULL)
+SELECT bin, round(lo + bin * width, 6) + 0.0 AS bin_start, count(*) AS n FROM b GROUP BY bin, lo, width
+""",
+)
+def hist_auto(spark, sf):
+    return rounded(auto_histogram(games(spark, sf), "attendance"), "bin_start")
+
+
+BOOTSTRAP = """
+WITH r AS (SELECT game_id, {x} AS x, {y}::DOUBLE AS y FROM games WHERE {y} IS NOT NULL AND {x} IS NOT NULL),
+d AS (SELECT x, y, d, md5(game_id || ':' || d || ':42') AS h FROM r, range(25) AS u(d)),
+k AS (SELECT x, y, d * 8 + i AS b, ('0x' || substr(h, (4 * i + 1)::INTEGER, 4))::BIGINT AS u FROM d, range(8) AS v(i)),
+w AS (SELECT x, y, b, (u >= 24110)::INTEGER + (u >= 48219)::INTEGER + (u >= 60274)::INTEGER + (u >= 64292)::INTEGER + (u >= 65297)::INTEGER
+  + (u >= 65498)::INTEGER + (u >= 65531)::INTEGER AS w FROM k),
+m AS (SELECT x, b, sum(y * w) / sum(w) AS m FROM w WHERE w > 0 GROUP BY x, b),
+q AS (SELECT x, quantile_cont(m, 0.025) AS low, quantile_cont(m, 0.975) AS high FROM m GROUP BY x)
+SELECT r.x AS {x}, count(*) AS n, round(avg(y), 5) + 0.0 AS mean, round(any_value(low), 5) + 0.0 AS low, round(any_value(high), 5) + 0.0 AS high
+FROM r JOIN q ON r.x = q.x GROUP BY r.x
+"""
+
+
+@query("bootstrap_interval", BOOTSTRAP.format(x="competition_type", y="attendance"))
+def bootstrapped(spark, sf):
+    out = bootstrap_interval(games(spark, sf), "competition_type", "attendance", "game_id")
+    return out.withColumns({c: F.round(c, 5) + F.lit(0.0) for c in ("mean", "low", "high")})
+
+
+@query("bootstrap_line", BOOTSTRAP.format(x="season", y="home_club_goals"))
+def bootstrapped_line(spark, sf):
+    out = bootstrap_interval(games(spark, sf), "season", "home_club_goals", "game_id")
+    return out.withColumns({c: F.round(c, 5) + F.lit(0.0) for c in ("mean", "low", "high")})
+
+
 @query(
     "mean_interval",
     """

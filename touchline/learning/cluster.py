@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
+import pyarrow as pa
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,9 @@ from touchline.operators.blocks import blockwise
 from touchline.session import stage
 
 LINES = ("defenders", "midfielders", "attackers")
+#: Starts of k-means, and the distinct points that it may run over.
+STARTS = 64
+MOST_POINTS = 10_000
 # Names of the clusters from the fewest to the most attackers.
 STRATEGIES = ("Defensive", "Aggressive", "Offensive")
 STRATEGIES_BALANCED = ("Defensive", "Balanced", "Aggressive")
@@ -66,22 +69,78 @@ def formation_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return both.groupBy(F.coalesce("_f", F.lit(default)).alias("formation")).agg(F.count("_f").alias("n"))
 
 
-def fit_strategies(
-    df: DataFrame, cols: Sequence[str], k: int = 3, seed: int = 42
-) -> tuple[KMeansModel, DataFrame]:
+@dataclass(frozen=True)
+class Clustering:
+    """Centres in the scaled space, and the weighted sum of squared distances to them."""
+
+    centres: tuple[tuple[float, ...], ...]
+    cost: float
+
+    def clusterCenters(self) -> list[np.ndarray]:  # noqa: N802 - the name that fitted models have
+        return [np.array(c) for c in self.centres]
+
+
+def _lloyd(points: np.ndarray, weight: np.ndarray, k: int, seed: int, start: int, rounds: int = 200) -> tuple[np.ndarray, float]:
+    """Weighted k-means from one seeded start (spread by squared distance), then single moves while they pay."""
+    rng = np.random.default_rng([seed, start])
+    chosen = [int(rng.choice(len(points), p=weight / weight.sum()))]
+    while len(chosen) < k:
+        gap = ((points[:, None] - points[chosen][None]) ** 2).sum(2).min(1) * weight
+        chosen.append(int(rng.choice(len(points), p=gap / gap.sum())) if gap.sum() > 0 else int(rng.integers(len(points))))
+    centres = points[chosen].astype(float)
+    for _ in range(rounds):
+        own = ((points[:, None] - centres[None]) ** 2).sum(2).argmin(1)
+        moved = np.array([np.average(points[own == c], axis=0, weights=weight[own == c]) if weight[own == c].sum() else centres[c] for c in range(k)])
+        if np.array_equal(moved, centres):
+            break
+        centres = moved
+    own = ((points[:, None] - centres[None]) ** 2).sum(2)
+    return centres, float((own.min(1) * weight).sum())
+
+
+def best_clustering(points: DataFrame, cols: Sequence[str], weight: str, k: int, starts: int = STARTS, seed: int = 42) -> Clustering:
+    """The cheapest of many seeded starts of weighted k-means over a short list of distinct points.
+
+    The starts run in one job; each sees all points, of which there may be at most
+    MOST_POINTS. Centres come in ascending order, whatever start they are from.
+    """
+    rows = points.select(*[F.col(c).cast("double") for c in cols], F.col(weight).cast("double")).limit(MOST_POINTS + 1).collect()
+    if len(rows) > MOST_POINTS:
+        raise ValueError(f"more than {MOST_POINTS} distinct points")
+    held = np.array(sorted(tuple(r) for r in rows), float).reshape(len(rows), len(cols) + 1)
+    x, w = held[:, :-1], held[:, -1]
+    if not len(x):
+        return Clustering(tuple((0.0,) * len(cols) for _ in range(k)), 0.0)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [_lloyd(x, w, k, seed, start) for start in batch.column("id").to_pylist()]
+            ordered = [sorted(map(tuple, c.tolist())) for c, _ in found]
+            yield pa.RecordBatch.from_pydict({"cost": [c for _, c in found], "centres": ordered}, schema=pa.schema([("cost", pa.float64()), ("centres", pa.list_(pa.list_(pa.float64())))]))
+
+    tried = points.sparkSession.range(starts).mapInArrow(run, "cost double, centres array<array<double>>")
+    best = tried.orderBy(F.round("cost", 9), "centres").first()
+    return Clustering(tuple(tuple(c) for c in best["centres"]), best["cost"])
+
+
+def fit_strategies(df: DataFrame, cols: Sequence[str], k: int = 3, seed: int = 42) -> tuple[Clustering, DataFrame]:
     """K-means over the formations used, and the table of formations with cluster ids.
 
     The fit runs on distinct formations weighted by use, written once so that
-    ``df`` is scanned once. Scaling uses the mean and deviation over all uses.
+    ``df`` is scanned once. Scaling uses the mean and deviation over all uses. Of
+    the clusters nearest to a formation the first counts.
     """
     counts = stage(formation_counts(df, cols), "formations")
-    scaled = standardised(formation_lines(counts, "formation"), LINES, "n")
-    scaled = scaled.withColumn("features", array_to_vector(F.array(*LINES)))
-    model = KMeans(k=k, seed=seed, weightCol="n").fit(scaled.where("n > 0"))
-    return model, model.transform(scaled).select("formation", "n", "features", "prediction")
+    scaled = stage(standardised(formation_lines(counts, "formation"), LINES, "n"), "scaled")
+    merged = scaled.where("n > 0").groupBy(*LINES).agg(F.sum("n").alias("n"))
+    model = best_clustering(merged, LINES, "n", k, seed=seed)
+    gaps = [sum((F.pow(F.col(c) - F.lit(float(v)), F.lit(2.0)) for c, v in zip(LINES, centre, strict=True)), F.lit(0.0)) for centre in model.centres]
+    nearest = F.array_min(F.array(*[F.struct(g.alias("gap"), F.lit(i).alias("id")) for i, g in enumerate(gaps)]))["id"]
+    labelled = scaled.withColumn("features", array_to_vector(F.array(*LINES))).withColumn("prediction", nearest)
+    return model, labelled.select("formation", "n", "features", "prediction")
 
 
-def strategy_names(model: KMeansModel, names: Sequence[str] = STRATEGIES) -> Column:
+def strategy_names(model: Clustering, names: Sequence[str] = STRATEGIES) -> Column:
     """Cluster id to name, by the attackers coordinate of the centres in rising order."""
     ranked = np.argsort([c[2] for c in model.clusterCenters()], kind="stable")
     return lookup(F.col("prediction"), {int(c): names[i] for i, c in enumerate(ranked)})
@@ -151,6 +210,28 @@ def silhouette(df: DataFrame, cols: Sequence[str], label: str, block_rows: int =
     return ab.agg(F.try_divide(F.sum(s * F.col("_w")), F.sum("_w")).alias("silhouette"))
 
 
-def squared_silhouette(labelled: DataFrame, features: str = "features") -> float:
-    """The evaluator's squared-distance form, in one linear pass."""
-    return ClusteringEvaluator(featuresCol=features, predictionCol="prediction").evaluate(labelled)
+def squared_silhouette(labelled: DataFrame, features: str = "features", weight: str | None = None, label: str = "prediction") -> DataFrame:
+    """Mean silhouette with the squared distance over all rows a point stands for, as one row; one linear pass.
+
+    The sum of squared distances to a cluster follows from its number of rows, the
+    sum of their vectors and of their squares. A row alone in its cluster counts 0.
+    """
+    kind = labelled.schema[features].dataType.typeName()
+    x = F.col(features) if kind == "array" else vector_to_array(features)
+    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
+    points = labelled.select(x.alias("_x"), w.alias("_w"), F.col(label).alias("_c")).where("_w > 0")
+    square = lambda v: F.aggregate(v, F.lit(0.0), lambda a, b: a + b * b)
+    long = points.select("_c", "_w", F.posexplode("_x").alias("_j", "_v"))
+    sums = long.groupBy("_c", "_j").agg(F.sum(F.col("_v") * F.col("_w")).alias("_s"))
+    vectors = sums.groupBy("_c").agg(F.transform(F.array_sort(F.collect_list(F.struct("_j", "_s"))), lambda p: p["_s"]).alias("_sum"))
+    sizes = points.groupBy("_c").agg(F.sum("_w").alias("_n"), F.sum(square(F.col("_x")) * F.col("_w")).alias("_q"))
+    table = sizes.join(vectors, "_c").agg(F.collect_list(F.struct("_c", "_n", "_q", "_sum")).alias("all")).scalar()
+    each = points.withColumn("_k", table)
+    product = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: u * v), F.lit(0.0), lambda u, v: u + v)
+    apart = lambda k: F.greatest(k["_n"] * square(F.col("_x")) - 2 * product(F.col("_x"), k["_sum"]) + k["_q"], F.lit(0.0))
+    own = F.filter("_k", lambda k: k["_c"] == F.col("_c"))
+    other = F.filter("_k", lambda k: k["_c"] != F.col("_c"))
+    each = each.withColumn("_n", own[0]["_n"]).withColumn("_a", F.try_divide(apart(own[0]), F.col("_n") - 1))
+    each = each.withColumn("_b", F.array_min(F.transform(other, lambda k: apart(k) / k["_n"])))
+    s = F.when(F.col("_n") <= 1, 0.0).otherwise(F.coalesce(F.try_divide(F.col("_b") - F.col("_a"), F.greatest("_a", "_b")), F.lit(0.0)))
+    return each.agg(F.try_divide(F.sum(s * F.col("_w")), F.sum("_w")).alias("squared_silhouette"))

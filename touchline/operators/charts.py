@@ -12,6 +12,10 @@ from touchline.operators.stats import attach, group_percentiles
 
 # Fixed value: two-sided 95 % point of the normal distribution.
 Z95 = 1.96
+# 16-bit draws from which a Poisson count of mean 1 is at least 1, 2, 3...
+POISSON_16 = (24110, 48219, 60274, 64292, 65297, 65498, 65531)
+# Deviations beyond which the normal kernel is left out; its tail there is below 1e-8.
+REACH = 6.0
 
 
 def _binned(df: DataFrame, col: str, bins: int) -> DataFrame:
@@ -36,6 +40,30 @@ def auto_bins(df: DataFrame, col: str) -> int:
     return max(1, math.ceil(math.log2(n)) + 1) if n else 1
 
 
+def auto_histogram(df: DataFrame, col: str) -> DataFrame:
+    """Counts in equal-width bins: as many as the narrower of two widths needs.
+
+    Sturges' width is the range over log2(n) + 1, that of Freedman and Diaconis twice
+    the range between quartiles over the cube root of n; without such a range
+    Sturges' is taken. The last bin includes the maximum.
+    """
+    x = F.col(col).cast("double")
+    ends = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(col).alias("n"))
+    quartiles = group_percentiles(df, [], col, {"q1": 0.25, "q3": 0.75})
+    known = ends.join(quartiles.withColumn("_one", F.lit(1)), F.lit(1) == F.col("_one"), "left")
+    span = F.col("hi") - F.col("lo")
+    sturges = span / (F.log2("n") + 1)
+    spread = 2 * (F.col("q3") - F.col("q1")) / F.pow(F.col("n").cast("double"), F.lit(1 / 3))
+    width = F.when(spread > 0, F.least(spread, sturges)).otherwise(sturges)
+    bins = F.greatest(F.coalesce(F.ceil(F.try_divide(span, width)), F.lit(1)), F.lit(1))
+    held = known.select(F.struct("lo", "hi", bins.cast("double").alias("bins")).alias("e")).scalar()
+    rows = df.where(F.col(col).isNotNull()).withColumn("_e", held)
+    size = (F.col("_e.hi") - F.col("_e.lo")) / F.col("_e.bins")
+    at = F.least(F.coalesce(F.floor(F.try_divide(x - F.col("_e.lo"), size)), F.lit(0)), F.col("_e.bins") - 1).cast("int")
+    rows = rows.withColumn("bin", at).withColumn("bin_start", F.col("_e.lo") + F.col("bin") * size)
+    return rows.groupBy("bin", "bin_start").agg(F.count("*").alias("n"))
+
+
 def mean_interval(df: DataFrame, x: str, y: str) -> DataFrame:
     """Mean of y per x with a normal 95 % interval."""
     half = F.lit(Z95) * F.try_divide(F.stddev_samp(y), F.sqrt(F.count(y)))
@@ -45,6 +73,30 @@ def mean_interval(df: DataFrame, x: str, y: str) -> DataFrame:
     return out.select(x, "n", "mean", (F.col("mean") - F.col("_half")).alias("low"), (F.col("mean") + F.col("_half")).alias("high"))
 
 
+def bootstrap_interval(
+    df: DataFrame, x: str, y: str, row_id: str, replicates: int = 200, level: float = 0.95, seed: int = 42
+) -> DataFrame:
+    """Mean of y per x with a percentile bootstrap interval: x, n, mean, low, high.
+
+    Poisson bootstrap: a row counts in each replicate as often as a Poisson draw of
+    mean 1 says. The draws are taken from digests of the row's id, eight of 16 bits
+    each, so they need no shuffle, are the same on any partitioning, and one
+    aggregate of (x, replicate) serves all replicates.
+    """
+    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, row_id, F.col(y).cast("double").alias("_y"))
+    number = F.explode(F.sequence(F.lit(0), F.lit(math.ceil(replicates / 8) - 1))).alias("_d")
+    digest = known.select("*", number).withColumn("_h", F.md5(F.concat_ws(":", F.col(row_id).cast("string"), F.col("_d"), F.lit(seed))))
+    draw = lambda i: F.conv(F.substring("_h", 4 * i + 1, 4), 16, 10).cast("int")
+    weight = lambda u: sum((F.when(u >= t, 1).otherwise(0) for t in POISSON_16), F.lit(0))
+    drawn = digest.select(x, "_y", F.inline(F.array(*[F.struct((F.col("_d") * 8 + i).alias("_b"), weight(draw(i)).alias("_w")) for i in range(8)])))
+    drawn = drawn.where((F.col("_w") > 0) & (F.col("_b") < replicates))
+    means = drawn.groupBy(x, "_b").agg((F.sum(F.col("_y") * F.col("_w")) / F.sum("_w")).alias("_m"))
+    tail = (1 - level) / 2
+    ends = means.groupBy(x).agg(F.percentile("_m", F.array(F.lit(tail), F.lit(1 - tail))).alias("_e"))
+    whole = known.groupBy(x).agg(F.count("*").alias("n"), F.avg("_y").alias("mean"))
+    return whole.join(ends, x, "left").select(x, "n", "mean", F.col("_e")[0].alias("low"), F.col("_e")[1].alias("high"))
+
+
 def box_stats(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """Quartiles, whiskers at the outermost points within 1.5 IQR, and outliers per group."""
     q = group_percentiles(df, keys, col, {"q1": 0.25, "median": 0.5, "q3": 0.75})
@@ -79,6 +131,33 @@ def kernel_density(df: DataFrame, col: str, points: Sequence[float], bandwidth:
     return one.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
+def density_grid(df: DataFrame, col: str, bandwidth: float, points: int = 256) -> DataFrame:
+    """Gaussian kernel density on an even grid over the range of a column, three bandwidths wider at both ends.
+
+    Linear binning: a value gives its mass to the two grid points around it, by
+    nearness, in one aggregate of the rows; only grid points then meet the kernel.
+    The error falls with the square of the grid's step.
+    """
+    x = F.col(col).cast("double")
+    known = df.where(F.col(col).isNotNull()).select(x.alias("_x"))
+    ends = known.agg(
+        F.struct((F.min("_x") - 3 * bandwidth).alias("lo"), ((F.max("_x") - F.min("_x") + 6 * bandwidth) / (points - 1)).alias("step"), F.count("*").alias("n")).alias("e")
+    ).scalar()
+    at = known.withColumn("_e", ends).withColumn("_p", (F.col("_x") - F.col("_e.lo")) / F.col("_e.step"))
+    at = at.withColumn("_i", F.least(F.floor("_p"), F.lit(points - 2))).withColumn("_f", F.col("_p") - F.col("_i"))
+    sides = F.array(F.struct(F.col("_i"), (1 - F.col("_f")).alias("_m")), F.struct((F.col("_i") + 1).alias("_i"), F.col("_f").alias("_m")))
+    masses = at.select(F.inline(sides)).groupBy("_i").agg(F.sum("_m").alias("_m")).withColumn("_e", ends)
+    reach = F.ceil(F.lit(REACH * bandwidth) / F.col("_e.step"))
+    near = F.explode(F.sequence(F.greatest(F.col("_i") - reach, F.lit(0).cast("long")), F.least(F.col("_i") + reach, F.lit(points - 1).cast("long")))).alias("point")
+    gap = (F.col("point") - F.col("_i")) * F.col("_e.step") / bandwidth
+    kernel = F.exp(-gap * gap / 2) / (bandwidth * math.sqrt(2 * math.pi))
+    reached = masses.select("_e", "_i", "_m", near)
+    held = reached.groupBy("point").agg((F.sum(F.col("_m") * kernel) / F.max("_e.n")).alias("density"))
+    grid = df.sparkSession.range(points).select(F.col("id").alias("point"), ends.alias("_e"))
+    place = (F.col("_e.lo") + F.col("point") * F.col("_e.step")).alias("x")
+    return grid.join(held, "point", "left").select("point", place, F.coalesce("density", F.lit(0.0)).alias("density"))
+
+
 def scatter_sample(df: DataFrame, x: str, y: str, fraction: float, seed: int = 42) -> DataFrame:
     """A seeded sample of points to draw."""
     return df.select(x, y).sample(False, fraction, seed)
