@@ -41,6 +41,37 @@ def test_extracts_articles_and_handles_odd_pages(spark):
     assert main_text(frame.limit(0)).count() == 0
 
 
+def test_optional_end_tags_and_landmarks_that_say_nothing(spark):
+    pages = [h for h, _ in made(60)]
+    want = {
+        "<html><head><title>t</title><body><nav>n</nav><article><p>kept text of the page, all of it.</article>": "kept text of the page, all of it.",
+        "<title>t</title><meta charset=x><article><p>kept text, and more of it.</article>": "kept text, and more of it.",
+        "<head><title>t</title>Bare text, which ends the head.<p>And more, as text.": None,
+        "<body class='has-sidebar left sidebar'><article><p>One plain article, with a few words.</p></article></body>": "One plain article, with a few words.",
+        "<article><header><h1>The title of it</h1></header><p>And the text, in full.</p></article>": "The title of it\nAnd the text, in full.",
+        "<article><p>Area is <math><mi>x</mi>=3</math> units, <svg><text>drawn</text></svg> here.</p></article>": "Area is x=3 units, drawn here.",
+        "<article><table><tr><td>a, b<td>c, d<tr><td>e, f</table><p>Then the text, at last.</article>": "a, b\nc, d\ne, f\nThen the text, at last.",
+        "<article><p><ruby>k<rt>r<rp>p</ruby> and text, in order.</article>": "krp and text, in order.",
+    }
+    frame = spark.createDataFrame([(i, h) for i, h in enumerate([*want, *pages])], "page_id long, html string")
+    got = {r.page_id: r.text for r in main_text(frame).where(f"page_id < {len(want)}").collect()}
+    for i, (html, text) in enumerate(want.items()):
+        assert got[i] == text if text is not None else "Bare text" in got[i], html
+
+
+def test_many_open_tags_take_linear_time():
+    import time
+
+    took = []
+    for n in (20_000, 80_000):
+        for tag in ("a", "b", "span"):
+            start = time.perf_counter()
+            page = Page(f"<p>{f'<{tag}>x' * n}")
+            assert len(page.blocks) == 1 and len(page.blocks[0][1]) == n
+            took.append(time.perf_counter() - start)
+    assert max(took) < 20
+
+
 def test_trees_know_text_without_landmarks(spark):
     pages = made(120)
     trees = fit(spark.createDataFrame(pages[:80], "html string, want string"), "html")

@@ -34,14 +34,23 @@ MIXED = 0.25
 
 # HTML's elements without an end, those whose text is never shown as text, and block-level ones.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN = set("script style template noscript head title iframe object svg math select textarea button option".split())
+HIDDEN = set("script style template noscript head title iframe select textarea button option".split())
+# What may stand in a head; anything else ends one that was left open.
+HEAD = set("head base link meta title style script noscript template".split())
 BLOCKS = set(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 HEADINGS, LISTS = {"h1", "h2", "h3", "h4", "h5", "h6"}, {"ul", "ol", "li", "dl", "dt", "dd", "menu"}
 #: An open element on the left ends where one on the right begins, unless a container lies between.
-ENDED_BY = {"p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}}
+PARTS = {"thead", "tbody", "tfoot"}
+ENDED_BY = {
+    "p": BLOCKS, "a": {"a"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"option", "optgroup"}, "rt": {"rt", "rp"}, "rp": {"rt", "rp"},
+    "colgroup": {"colgroup", "tr", *PARTS}, "tr": {"tr", *PARTS}, "td": {"td", "th", "tr", *PARTS}, "th": {"td", "th", "tr", *PARTS},
+    "thead": PARTS, "tbody": PARTS, "tfoot": PARTS,
+}
+BARRIERS = {"p": BLOCKS - {"p"}, "a": BLOCKS, "option": {"select", "datalist"}, "rt": {"ruby"}, "rp": {"ruby"}}
+CONTAINERS = {"ul", "ol", "dl", "table"}
 MAIN_TAGS, OTHER_TAGS = {"article", "main"}, {"nav", "header", "footer", "aside", "form", "menu", "dialog"}
 # Parts of class, id and role that say what an element is for.
 MAIN_TOKENS = set("article content entry main post story body text".split())
@@ -58,6 +67,7 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.tag, self.parent, self.tokens, self.children = ["#page"], [-1], [frozenset()], [[]]
         self.open, self.hidden, self.blocks = [0], 0, []
+        self.open_blocks = [0]
         self.buffer: list[str] = []
         self.open_tags: dict[str, int] = {}
         self.linked = [0]
@@ -66,7 +76,7 @@ class Page(HTMLParser):
         self.end_block()
 
     def block_node(self) -> int:
-        return next((n for n in reversed(self.open) if self.tag[n] in BLOCKS), 0)
+        return self.open_blocks[-1]
 
     def end_block(self) -> None:
         text = " ".join("".join(self.buffer).split())
@@ -79,13 +89,22 @@ class Page(HTMLParser):
         tag = self.tag[node]
         self.open_tags[tag] -= 1
         self.hidden -= tag in HIDDEN
+        if tag in BLOCKS:
+            self.open_blocks.pop()
+
+    def leave_head(self) -> None:
+        """What can't stand in a head ends it, also without its end tag."""
+        if self.open_tags.get("head") and self.tag[self.open[-1]] == "head":
+            self.close_to("head")
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag not in HEAD:
+            self.leave_head()
         if tag in BLOCKS:
             self.end_block()
         for name, enders in ENDED_BY.items():
             if tag in enders and self.open_tags.get(name):
-                self.close_to(name, barrier=BLOCKS - {name} if name == "p" else {"ul", "ol", "dl", "table"})
+                self.close_to(name, barrier=BARRIERS.get(name, CONTAINERS))
         if tag in VOID:
             if tag in ("br", "hr"):
                 self.buffer.append(" ")
@@ -99,6 +118,8 @@ class Page(HTMLParser):
         self.linked.append(0)
         self.children[self.open[-1]].append(node)
         self.open.append(node)
+        if tag in BLOCKS:
+            self.open_blocks.append(node)
         self.open_tags[tag] = self.open_tags.get(tag, 0) + 1
         self.hidden += tag in HIDDEN
 
@@ -122,6 +143,8 @@ class Page(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def handle_data(self, data: str) -> None:
+        if self.hidden and not data.isspace():
+            self.leave_head()
         if not self.hidden:
             self.buffer.append(data)
             if self.open_tags.get("a"):
@@ -145,7 +168,10 @@ def features(page: Page) -> np.ndarray:
     above = np.zeros((n, 4))
     for node in range(n):
         tag, tokens, up = page.tag[node], page.tokens[node], page.parent[node]
-        above[node] = (tag in MAIN_TAGS, tag in OTHER_TAGS, bool(tokens & MAIN_TOKENS), bool(tokens & OTHER_TOKENS))
+        # a class of the whole page says nothing of its parts, and an article's own header is part of it
+        tokens = frozenset() if tag in ("html", "body") else tokens
+        other = tag in OTHER_TAGS and not (tag == "header" and above[up][0])
+        above[node] = (tag in MAIN_TAGS, other, bool(tokens & MAIN_TOKENS), bool(tokens & OTHER_TOKENS))
         if up >= 0:
             above[node] = np.maximum(above[node], above[up])
             out[node, 0] = min(out[up, 0] + 1, 64)
@@ -268,8 +294,9 @@ def fit(pages: DataFrame, html_column: str) -> list[tuple[float, Tree]]:
 def main_text(pages: DataFrame, html_column: str = "html", out: str = "text") -> DataFrame:
     """pages with the column `out`: the main text, its blocks in page order joined by a line feed.
 
-    Character references are decoded and white space inside a block becomes one space. Scripts, styles and other text
-    that is never shown don't count. A null or empty page, or one without main text, gives an empty text. Every row is
+    Character references are decoded and white space inside a block, also what Unicode calls so, becomes one space.
+    Scripts, styles, form controls and other text that is never shown don't count; an end tag that HTML lets out is
+    filled in. A sample that shows only one side fits no trees, and landmarks decide. A null or empty page, or one without main text, gives an empty text. Every row is
     extracted by itself, so repeated ones are alike; an empty table gives no row; a column of pages named `out` is
     replaced, all others stay.
     """
