@@ -54,3 +54,22 @@ def test_query_counts_and_digest(spark, tmp_path):
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(k == kind for k, *_ in base) for kind in BASE)
         written = ",".join(f"{k}:{b}:{e}" for k, b, e in base)
         assert r.base_sha256 == hashlib.sha256(written.encode()).hexdigest()
+
+
+def test_many_spans_in_one_text_and_long_secrets(spark):
+    import time
+
+    n = 100_000
+    mails = " ".join(f"u{i}@ex.org" for i in range(n))
+    secret = "Ab3" * 100
+    texts = [(1, mails, 7), (2, f"token = \"{secret}\" é " * 3 + f"{secret[:199]} {secret[:201]}", 8), (3, "é a@b.cd, é" * 2000 + "end", 9)]
+    texts += [(10 + i, f'my token = "{hashlib.sha1(str(i).encode()).hexdigest()}" is set', 1) for i in range(40)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string, __spans long")
+    start = time.perf_counter()
+    got = {r.doc_id: (len(r.spans), r.spans[-1].begin if r.spans else None) for r in find(frame).collect()}
+    assert got[1] == (n, mails.rindex("u")) and got[3][0] == 2000
+    assert got[2][0] == 5  # a secret of any length is one
+    out = {r.doc_id: r for r in redact(frame).collect()}
+    assert out[1].text == " ".join(["<EMAIL>"] * n) and out[1]["__spans"] == 7
+    assert out[3].text == "é <EMAIL>, é" * 2000 + "end"
+    assert time.perf_counter() - start < 120

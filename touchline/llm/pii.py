@@ -6,7 +6,7 @@ bounded by the numbers of kinds, votes and bins. On it expectation-maximisation
 each labeler is, and the resulting probabilities train the final span classifier: a log-linear one whose weights are the
 log-odds of each feature. Spans of the four base kinds whose form is valid always stay; the classifier decides on others.
 
-A text is read twice, once to count and once to decide, and is never shuffled; Python touches the counts only.
+The time of a text follows its length and the number of its spans; neither is bounded. A text is read twice, once to count and once to decide, and is never shuffled; Python touches the counts only.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "secret": r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,200}+(?![A-Za-z0-9_+/-])",
-    "person": r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora)\.? \p{Lu}\p{Ll}{1,30}+(?: \p{Lu}\p{Ll}{1,30}+)?",
+    "secret": r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,}+(?![A-Za-z0-9_+/-])",
+    "person": r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame|Señor|Señora)\.? \p{Lu}\p{Ll}++(?: \p{Lu}\p{Ll}++)?",
 }
 #: What a text must hold for a pattern to be tried at all.
 NEEDS = {"email": "@", "ip": ".", "phone": "+"}
@@ -50,6 +50,8 @@ NAMES = "anna maria john james robert michael david peter paul thomas hans klaus
 # What stands in manuals and tests, not for anybody.
 PLACEHOLDERS = "0.0.0.0 127.0.0.1 255.255.255.255 user@example.com name@example.com 0000000000000000 4111111111111111"
 CONTEXT = 24
+#: Code points of a part of a text, of which a span's surroundings are cut.
+PART = 4096
 
 
 def _words(words: str) -> str:
@@ -87,30 +89,68 @@ def _form(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
+def _add(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _running(values: Column, combine: Callable[[Column, Column], Column] = _add) -> Column:
+    """Sums (or what `combine` makes of them) of numbers from 0 up to each, itself included. Takes time that grows with
+    their number times its square root, as an array grows by a copy."""
+
+    def along(part: Column, first: Column) -> Column:
+        start = F.struct(first.alias("at"), F.array().cast("array<int>").alias("all"))
+
+        def step(s: Column, v: Column) -> Column:
+            return F.struct(combine(s["at"], v).alias("at"), F.array_append(s["all"], combine(s["at"], v)).alias("all"))
+
+        return F.aggregate(part, start, step, lambda s: s["all"])
+
+    def cut(all_: Column) -> Column:
+        width = F.greatest(F.sqrt(F.size(all_)).cast("int"), F.lit(1))
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / width).cast("int")), lambda i: F.slice(all_, i * width + 1, width))
+        total = lambda part: F.aggregate(part, F.lit(0), combine)
+        firsts = lambda ps: along(F.concat(F.array(F.lit(0)), F.transform(F.slice(ps, 1, F.size(ps) - 1), total)), F.lit(0))
+        return _let(parts, lambda ps: F.flatten(F.zip_with(ps, firsts(ps), along)))
+
+    return F.when(F.size(values) > 0, _let(values, cut)).otherwise(F.array().cast("array<int>"))
+
+
 def _found(text: Column, kind: str) -> Column:
-    """Spans (begin, end, said) of a pattern, leftmost and non-overlapping, in code points.
+    """Spans (begin, end, said, before, after) of a pattern, leftmost and non-overlapping, in code points.
 
-    A pattern whose matches need nothing around them is next found where its text next occurs; those with a look around
-    are only ever one whole run of their characters, so the same holds behind the preceding match.
+    The text is split once at the matches, and places are running sums of the lengths of what lies between and of the
+    matches, so that many spans in one text cost no more than many texts. `before` holds the last CONTEXT characters in
+    front of a span, `after` the next one behind it.
     """
-    all_ = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
+    pattern = F.lit(PATTERNS[kind])
+    all_ = F.regexp_extract_all(text, pattern, F.lit(0))
     if kind in NEEDS:
         all_ = F.when(F.contains(text, F.lit(NEEDS[kind])), all_).otherwise(F.array().cast("array<string>"))
-    start = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<begin:int,end:int,said:string>>").alias("spans"))
+    none = F.array().cast("array<struct<begin:int,end:int,said:string,before:string,after:string>>")
 
-    def step(state: Column, said: Column) -> Column:
-        def placed(p: Column) -> Column:
-            span = F.struct((p - 1).alias("begin"), (p - 1 + F.length(said)).alias("end"), said.alias("said"))
-            return F.struct((p + F.length(said)).alias("next"), F.concat(state["spans"], F.array(span)).alias("spans"))
+    def placed(said: Column, between: Column) -> Column:
+        # matches have two characters or more: with what lies between, so many of them hold a context
+        near = CONTEXT // 2
+        pair = F.zip_with(F.slice(between, 1, F.size(said)), said, lambda b, m: F.struct(b.alias("between"), m.alias("said")))
+        ends = _running(F.transform(pair, lambda p: F.length(p["between"]) + F.length(p["said"])))
 
-        return _let(F.position(said, text, state["next"]), placed)
+        def span(pairs: Column, ends: Column, i: Column) -> Column:
+            p = F.get(pairs, i)
+            earlier = F.transform(F.slice(pairs, F.greatest(i - near, F.lit(0)) + 1, F.least(i, F.lit(near))), lambda q: F.right(F.concat(q["between"], q["said"]), F.lit(CONTEXT)))
+            before = F.right(F.concat(F.array_join(earlier, ""), F.right(p["between"], F.lit(CONTEXT))), F.lit(CONTEXT))
+            after = F.left(F.concat(F.left(F.get(between, i + 1), F.lit(1)), F.coalesce(F.get(pairs, i + 1)["said"], F.lit(""))), F.lit(1))
+            end = F.get(ends, i)
+            return F.struct((end - F.length(p["said"])).alias("begin"), end.alias("end"), p["said"].alias("said"), before.alias("before"), after.alias("after"))
 
-    return F.aggregate(all_, start, step, lambda s: s["spans"])
+        held = F.struct(pair.alias("pairs"), ends.alias("ends"))
+        return _let(held, lambda h: F.transform(F.sequence(F.lit(0), F.size(said) - 1), lambda i: span(h["pairs"], h["ends"], i)))
 
+    return _let(all_, lambda said: F.when(F.size(said) > 0, _let(F.split(text, PATTERNS[kind], -1), lambda between: placed(said, between))).otherwise(none))
 
-def _candidate(text: Column, kind: str, span: Column) -> Column:
-    before = F.lower(F.substr(text, F.greatest(span["begin"] - CONTEXT, F.lit(0)) + 1, F.least(span["begin"], F.lit(CONTEXT))))
-    around = F.concat(F.substr(text, F.greatest(span["begin"], F.lit(1)), F.when(span["begin"] > 0, 1).otherwise(0)), F.lit(" "), F.substr(text, span["end"] + 1, F.lit(1)))
+
+def _candidate(kind: str, span: Column) -> Column:
+    before = F.lower(span["before"])
+    around = F.concat(F.right(span["before"], F.lit(1)), F.lit(" "), span["after"])
     low = F.lower(span["said"])
     cue = before.rlike(rf"(?<!\p{{L}})(?:{_words(CUES[kind])})(?!\p{{L}})")
     against = before.rlike(rf"(?<!\p{{L}})(?:{_words(AGAINST)})(?!\p{{L}})")
@@ -136,7 +176,7 @@ def _candidate(text: Column, kind: str, span: Column) -> Column:
 def candidates(text: Column) -> Column:
     """All proposals in a text (null: none): array of struct kind, begin, end, base, votes, features."""
     text = F.coalesce(text, F.lit(""))
-    return F.concat(*(F.transform(_found(text, k), functools.partial(_candidate, text, k)) for k in KINDS))
+    return F.concat(*(F.transform(_found(text, k), functools.partial(_candidate, k)) for k in KINDS))
 
 
 LABELERS, FEATURES = 4, 6
@@ -198,15 +238,40 @@ def find(docs: DataFrame, text_column: str = "text", out: str = "spans", thresho
     return docs.withColumn(out, spans)
 
 
+def _without(text: Column, spans: Column) -> Column:
+    """The text with each span, in the order of their begins, replaced by its kind; overlapping ones go as one."""
+
+    def between(parts: Column, a: Column, b: Column) -> Column:
+        # from place a to b: the parts that hold it are joined, so that a text is not walked from its start again
+        first = F.floor(a / PART).cast("int")
+        held = F.array_join(F.slice(parts, first + 1, F.floor(b / PART).cast("int") - first + 1), "")
+        return F.substr(held, a - first * PART + 1, b - a)
+
+    def joined(parts: Column) -> Column:
+        ends = _running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+
+        def piece(i: Column, ends: Column) -> Column:
+            s, at = F.get(spans, i), F.coalesce(F.get(ends, i - 1), F.lit(0))
+            return F.when(s["begin"] >= at, F.concat(between(parts, at, s["begin"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise("")
+
+        def whole(ends: Column) -> Column:
+            pieces = F.transform(F.sequence(F.lit(0), F.size(spans) - 1), lambda i: piece(i, ends))
+            return F.concat(F.array_join(pieces, ""), between(parts, F.element_at(ends, -1), F.length(text)))
+
+        return _let(ends, whole)
+
+    parts = F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / PART).cast("int")), lambda i: F.substr(text, i * PART + 1, F.lit(PART)))
+    return _let(parts, joined)
+
+
 def redact(docs: DataFrame, text_column: str = "text", threshold: float = 0.5) -> DataFrame:
-    """docs with each span of its texts replaced by its kind, as `<EMAIL>`; overlapping spans go as one. Null stays."""
+    """docs with each span of its texts replaced by its kind, as `<EMAIL>`; overlapping spans go as one.
+
+    Null and empty texts stay, repeated rows are alike, an empty table gives no row, and columns keep their names.
+    """
     spans = "__spans"
+    while spans in docs.columns:
+        spans += "_"
     text = F.col(text_column)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
-
-    def step(state: Column, s: Column) -> Column:
-        kept = F.concat(F.substr(text, state["at"] + 1, s["begin"] - state["at"]), F.lit("<"), F.upper(s["kind"]), F.lit(">"))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.when(s["begin"] >= state["at"], F.concat(state["done"], kept)).otherwise(state["done"]).alias("done"))
-
-    whole = F.aggregate(spans, start, step, lambda s: F.concat(s["done"], F.substr(text, s["at"] + 1, F.length(text))))
-    return find(docs, text_column, spans, threshold).withColumn(text_column, F.when(F.size(spans) > 0, whole).otherwise(text)).select(*docs.columns)
+    found = find(docs, text_column, spans, threshold)
+    return found.withColumn(text_column, F.when(F.size(spans) > 0, _without(text, F.col(spans))).otherwise(text)).select(*docs.columns)
