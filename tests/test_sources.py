@@ -1,3 +1,4 @@
+import os
 import datetime as dt
 
 import pytest
@@ -79,3 +80,18 @@ def test_published_rows(spark):
 def test_cluster_needs_a_shared_folder():
     with pytest.raises(ValueError):
         checkpoint_dir(session_like("spark://host:7077"))
+
+
+def test_stages_are_dropped_on_request(spark):
+    from touchline import session
+
+    app = spark.sparkContext.applicationId
+    held, session._stages[app] = session._stages.pop(app, []), []
+    try:
+        kept = session.stage(spark.range(5), "dropped")
+        (path,) = session._stages[app]
+        assert kept.count() == 5 and os.path.isdir(path)
+        assert session.drop_stages(spark) == 1 and not os.path.exists(path)
+        assert session.drop_stages(spark) == 0
+    finally:
+        session._stages[app] = held

@@ -22,6 +22,7 @@ from touchline.learning.cluster import (
 from touchline.learning.gram import linear_search
 from touchline.learning.ols import absorbed_least_squares
 from touchline.learning.rules import association_rules, basket, most_significant, one_hot_items, pair_rules
+from touchline.learning.silhouette import silhouette_within
 from touchline.learning.train import (
     benchmark,
     class_metrics,
@@ -204,6 +205,38 @@ def exact_silhouette(spark, sf):
     return rounded(silhouette(formation_lines(g, "home_club_formation"), LINES, "label"), "silhouette")
 
 
+@query(
+    "silhouette_free",
+    """
+WITH p AS (SELECT competition_type AS l, attendance / 1000.0::DOUBLE AS x, home_club_position::DOUBLE AS y, count(*) AS w FROM games
+  WHERE attendance IS NOT NULL AND home_club_position IS NOT NULL GROUP BY ALL),
+d AS (SELECT p.l, p.x, p.y, p.w, o.l AS other, sum(o.w) AS n, sum(o.w * sqrt((p.x - o.x) * (p.x - o.x) + (p.y - o.y) * (p.y - o.y))) AS s FROM p, p AS o GROUP BY ALL),
+ab AS (SELECT l, x, y, w, max(n) FILTER (l = other) AS n, max(s / nullif(n - 1, 0)) FILTER (l = other) AS a, min(s / n) FILTER (l <> other) AS b FROM d GROUP BY ALL)
+SELECT round(sum(w * CASE WHEN n <= 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) / sum(w), 2) + 0.0 AS silhouette, true AS within FROM ab
+""",
+)
+def free_silhouette(spark, sf):
+    """Of attendance and position by kind of competition; within: the error's bound keeps the tolerance."""
+    g = games(spark, sf).withColumns({"x": F.col("attendance") / 1000.0, "y": F.col("home_club_position").cast("double")})
+    out = silhouette_within(g, ["x", "y"], "competition_type", 0.005)
+    return out.select((F.round("silhouette", 2) + F.lit(0.0)).alias("silhouette"), (F.col("error") <= 0.005).alias("within"))
+
+
+@query(
+    "pca_pair",
+    """
+WITH g AS (SELECT game_id, home_club_position AS a, attendance AS b FROM games WHERE home_club_position IS NOT NULL AND attendance IS NOT NULL),
+s AS (SELECT avg(a) AS ma, stddev_pop(a) AS sa, avg(b) AS mb, stddev_pop(b) AS sb, sign(corr(a, b)) AS c FROM g),
+z AS (SELECT game_id, (a - ma) / sa AS x, (b - mb) / sb AS y, c FROM g, s)
+SELECT game_id, round((x + c * y) / sqrt(2), 5) + 0.0 AS pc1, round((x - c * y) / sqrt(2), 5) + 0.0 AS pc2 FROM z
+""",
+)
+def pca_two(spark, sf):
+    g = games(spark, sf).select("game_id", *SCALED).na.drop("any")
+    out = pca_plane(g, SCALED)
+    return out.select("game_id", *[(F.round(c, 5) + F.lit(0.0)).alias(c) for c in ("pc1", "pc2")])
+
+
 @query("pca_plane")
 def pca(spark, sf):
     g = games(spark, sf).select("game_id", *SCALED, "away_club_position").na.drop("any")

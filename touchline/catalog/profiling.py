@@ -90,7 +90,7 @@ def _named(spark, sf):
     "SELECT country_name, " + ", ".join(f"count(*) FILTER (season = {y}) AS \"{y}\"" for y in range(1995, 2002)) + f" {CROSS} GROUP BY 1",
 )
 def cross_wide(spark, sf):
-    return crosstab_wide(_named(spark, sf), "country_name", "season")
+    return crosstab_wide(_named(spark, sf), "country_name", "season", range(1995, 2002))
 
 
 CORR_COLS = ["season", "home_club_goals", "away_club_goals", "home_club_position", "away_club_position", "attendance"]

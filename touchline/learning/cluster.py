@@ -160,11 +160,16 @@ def with_strategies(
 
 
 def pca_plane(df: DataFrame, cols: Sequence[str], k: int = 2) -> DataFrame:
-    """First principal components of the standardised columns, as ``pc1``, ``pc2``..."""
+    """First principal components of the standardised columns, as ``pc1``, ``pc2``...
+
+    The greatest loading of a component (the first of equal ones) is positive.
+    """
     vec = VectorAssembler(inputCols=list(cols), outputCol="_vec").transform(standardised(df, cols))
-    out = PCA(k=k, inputCol="_vec", outputCol="_pc").fit(vec).transform(vec)
-    parts = vector_to_array("_pc")
-    return out.withColumns({f"pc{i + 1}": parts[i] for i in range(k)}).drop("_vec", "_pc")
+    model = PCA(k=k, inputCol="_vec", outputCol="_pc").fit(vec)
+    loads = model.pc.toArray()
+    turn = [float(np.sign(loads[np.argmax(np.round(np.abs(loads[:, i]), 9)), i]) or 1.0) for i in range(k)]
+    out, parts = model.transform(vec), vector_to_array("_pc")
+    return out.withColumns({f"pc{i + 1}": parts[i] * turn[i] for i in range(k)}).drop("_vec", "_pc")
 
 
 def _distance_sums(points: pd.DataFrame, others: pd.DataFrame, cols: Sequence[str]) -> pd.DataFrame:

@@ -87,10 +87,13 @@ def crosstab(df: DataFrame, row: str, col: str) -> DataFrame:
     return kept.groupBy(row, col).agg(F.count("*").alias("n"))
 
 
-def crosstab_wide(df: DataFrame, row: str, col: str) -> DataFrame:
-    """Contingency table with one column per value of ``col``."""
+def crosstab_wide(df: DataFrame, row: str, col: str, values: Sequence | None = None) -> DataFrame:
+    """Contingency table with one column per value of ``col``: the given ones, or all that occur.
+
+    Without ``values`` the planner looks them up first, of which it allows a bounded number.
+    """
     kept = df.where(F.col(row).isNotNull() & F.col(col).isNotNull())
-    return kept.groupBy(row).pivot(col).count().na.fill(0)
+    return kept.groupBy(row).pivot(col, list(values) if values is not None else None).count().na.fill(0)
 
 
 def correlations(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

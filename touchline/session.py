@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -9,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 _own_dirs: dict[str, str] = {}
+_stages: dict[str, list[str]] = {}
 
 
 def local_session(cores: str = "*", app: str = "touchline", partitions: int = 8) -> SparkSession:
@@ -31,17 +34,20 @@ def local_session(cores: str = "*", app: str = "touchline", partitions: int = 8)
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for materialised stages.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only a local session may
-    fall back to a folder of its own, as executors elsewhere could not read it.
+    The cluster names it in ``spark.checkpoint.dir``. Only a session in one process
+    may fall back to a folder of its own, as executors elsewhere could not read it;
+    that folder goes when the process ends.
     """
     named = spark.conf.get(CHECKPOINT_DIR, None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors can reach")
     app = spark.sparkContext.applicationId
     if app not in _own_dirs:
         _own_dirs[app] = tempfile.mkdtemp(prefix="touchline-stages-")
+        atexit.register(shutil.rmtree, _own_dirs[app], ignore_errors=True)
     return _own_dirs[app]
 
 
@@ -54,4 +60,15 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _stages.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Delete the stages that this application has written, once no result reads them any more; how many there were."""
+    paths = _stages.pop(spark.sparkContext.applicationId, [])
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    for path in paths:
+        place = path_of(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
