@@ -1,5 +1,5 @@
-import os
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
