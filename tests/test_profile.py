@@ -125,3 +125,11 @@ def test_automatic_bins(spark):
         if max(xs) > min(xs):
             assert {b: n for b, (_, n) in got.items()} == {i: c for i, c in enumerate(counts) if c}
             assert all(start == pytest.approx(edges[b]) for b, (start, _) in got.items())
+
+
+def test_most_frequent_of_long_texts(spark):
+    same = "x" * 100
+    texts = [same + t for t in "bbaacd"] + ["a rare one", None] + [same + "b" * 500_000] * 2
+    df = spark.createDataFrame([(t, "k") for t in texts], "t string, k string")
+    got = {r["column"]: tuple(r)[1:] for r in describe_texts(df).collect()}
+    assert got == {"t": (9, 6, same + "a", 2), "k": (10, 1, "k", 10)}

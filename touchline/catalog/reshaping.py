@@ -54,6 +54,20 @@ def csv_declared_schema(spark, sf):
     return load_table(spark, root, "competitions", "csv")
 
 
+@query(
+    "csv_of_floats",
+    "SELECT game_id, season::BIGINT AS season, attendance, home_club_position::BIGINT AS home_club_position, home_club_goals::BIGINT AS home_club_goals, home_club_formation FROM games",
+)
+def csv_of_floats(spark, sf):
+    """Games read back from a CSV whose whole numbers are written as `52000.0` and whose gaps are empty, as data frames write them."""
+    root = f"{checkpoint_dir(spark)}/inputs-{uuid.uuid4().hex}"
+    numbers = ["season", "attendance", "home_club_position", "home_club_goals"]
+    g = games(spark, sf).select("game_id", *[F.col(c).cast("double").alias(c) for c in numbers], "home_club_formation")
+    write_csv(g, f"{root}/games.csv")
+    back = load_table(spark, root, "games", "csv")
+    return back.select("game_id", *[F.col(c).cast("bigint").alias(c) for c in numbers], "home_club_formation")
+
+
 @query("parquet_partitioned", "SELECT season, count(*) AS n FROM games GROUP BY season")
 def parquet_partitioned(spark, sf):
     path = f"{checkpoint_dir(spark)}/games-{uuid.uuid4().hex}"

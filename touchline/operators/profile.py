@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from touchline.operators.relational import columns_of_kind
 from touchline.operators.stats import group_percentiles
+from touchline.session import stage
 
 
 def unpivot_row(df: DataFrame, fields: Mapping[str, Mapping[str, str]], name: str) -> DataFrame:
@@ -109,6 +110,8 @@ def correlations(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     return one.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
 
 
+#: Characters of a text that travel with its digest.
+FIRST_CHARACTERS = 64
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
@@ -133,13 +136,22 @@ def describe_numbers(
 
 
 def describe_texts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Count, distinct values, most frequent value and its frequency per text column."""
+    """Count, distinct values, most frequent value (the least of several) and its frequency per text column.
+
+    Texts may be whole documents: what is shuffled and counted are digests with the
+    first characters. Only texts that may be the most frequent are looked at again.
+    """
     cols = list(cols or columns_of_kind(df, "text"))
-    counts = column_values(df, cols).where("value is not null")
-    top = F.min(F.struct((-F.col("n")).alias("rank"), "value"))
-    return counts.groupBy("column").agg(
-        F.sum("n").alias("count"), F.count("*").alias("unique"), top["value"].alias("top"), (-top["rank"]).alias("freq")
-    )
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cols])
+    long = df.select(F.explode(pairs).alias("_p")).select("_p.*").where("value is not null")
+    long = long.withColumn("_key", F.sha2(F.col("value").cast("binary"), 256))
+    counts = stage(long.groupBy("column", "_key").agg(F.count("*").alias("n"), F.min(F.left("value", F.lit(FIRST_CHARACTERS))).alias("_first")), "counts")
+    best = F.min(F.struct((-F.col("n")).alias("rank"), F.col("_first").alias("first"))).alias("_best")
+    whole = counts.groupBy("column").agg(F.sum("n").alias("count"), F.count("*").alias("unique"), best)
+    held = counts.join(whole.select("column", "_best"), "column").where((-F.col("n") == F.col("_best.rank")) & (F.col("_first") == F.col("_best.first")))
+    held = stage(held.select("column", "_key"), "most-frequent")
+    top = long.join(held, ["column", "_key"], "left_semi").groupBy("column").agg(F.min("value").alias("top"))
+    return whole.join(top, "column").select("column", "count", "unique", "top", (-F.col("_best.rank")).alias("freq"))
 
 
 def variable_kinds(df: DataFrame) -> DataFrame:
