@@ -19,7 +19,7 @@ from touchline.learning.cluster import (
     strategy_names,
     with_strategies,
 )
-from touchline.learning.gram import linear_search
+from touchline.learning.gram import linear_search, predicted
 from touchline.learning.ols import absorbed_least_squares
 from touchline.learning.rules import association_rules, basket, most_significant, one_hot_items, pair_rules
 from touchline.learning.silhouette import silhouette_within
@@ -555,6 +555,25 @@ def by_fraction(spark, sf):
     return runtime_by_fraction(model_table(spark, sf), TARGETS, NUMERIC, ["competition_id", "home_strategy", "away_strategy"], ids=["game_id"])
 
 
+@query(
+    "linear_predictions",
+    MODEL_SQL
+    + """, s AS (SELECT game_id, attendance AS u, season::DOUBLE AS v, home_club_goals::DOUBLE AS y,
+  ('0x' || substr(md5(game_id || ':42'), 1, 8))::BIGINT / 4294967296.0::DOUBLE < 0.8 AS in_train FROM m),
+t AS (SELECT avg(u) AS mu, avg(v) AS mv, avg(y) AS my, var_pop(u) AS uu, var_pop(v) AS vv, covar_pop(u, v) AS uv, covar_pop(u, y) AS uy, covar_pop(v, y) AS vy FROM s WHERE in_train),
+b AS (SELECT *, (uy * vv - vy * uv) / (uu * vv - uv * uv) AS bu, (vy * uu - uy * uv) / (uu * vv - uv * uv) AS bv FROM t)
+SELECT game_id, y AS label, round(my + bu * (u - mu) + bv * (v - mv), 7) + 0.0 AS prediction FROM s, b WHERE NOT in_train
+""",
+)
+def linear_predictions(spark, sf):
+    """Least squares from the sums of the training games, applied to the others."""
+    features = F.array(F.col("attendance").cast("double"), F.col("season").cast("double"))
+    train, test = stable_split(model_table(spark, sf).withColumn("features", features), ["game_id"])
+    _, fit, _ = linear_search(train, "home_club_goals", F.lit(0), 1, [(0.0, 0.0)])
+    out = predicted(test, fit).withColumn("prediction", F.round("prediction", 7) + F.lit(0.0))
+    return out.select("game_id", F.col("home_club_goals").cast("double").alias("label"), "prediction")
+
+
 @query("predictions")
 def predictions(spark, sf):
     from pyspark.ml.regression import LinearRegression

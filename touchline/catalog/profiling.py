@@ -344,16 +344,9 @@ def box_events(spark, sf):
     return rounded(box_stats(table(spark, sf, "events"), ["event_type"], "value"), *BOX_COLS)
 
 
-@query("scatter_sample")
-def scatter(spark, sf):
-    return scatter_sample(games(spark, sf), "attendance", "home_club_goals", 0.05)
-
-
 @query(
-    "goals_by_strategy_box",
-    f"WITH s AS (SELECT {_case('home', 'home_club_formation')} AS strategy_home, home_club_goals FROM games), "
-    + BOX_SQL.format(key="strategy_home", x="home_club_goals", t="s").strip().removeprefix("WITH "),
+    "scatter_sample",
+    "SELECT game_id, attendance, home_club_goals FROM games WHERE ('0x' || substr(md5(game_id || ':42'), 1, 8))::BIGINT / 4294967296.0::DOUBLE < 0.05",
 )
-def goals_box(spark, sf):
-    g = games(spark, sf).withColumn("strategy_home", rule_strategy(F.col("home_club_formation"), "home"))
-    return rounded(box_stats(g, ["strategy_home"], "home_club_goals"), *BOX_COLS)
+def scatter(spark, sf):
+    return scatter_sample(games(spark, sf), "attendance", "home_club_goals", 0.05, ids=["game_id"])

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from touchline.operators.relational import stable_draw
 from touchline.operators.stats import attach, group_percentiles
 
 # Fixed value: two-sided 95 % point of the normal distribution.
@@ -158,6 +159,10 @@ def density_grid(df: DataFrame, col: str, bandwidth: float, points: int = 256) -
     return grid.join(held, "point", "left").select("point", place, F.coalesce("density", F.lit(0.0)).alias("density"))
 
 
-def scatter_sample(df: DataFrame, x: str, y: str, fraction: float, seed: int = 42) -> DataFrame:
-    """A seeded sample of points to draw."""
-    return df.select(x, y).sample(False, fraction, seed)
+def scatter_sample(
+    df: DataFrame, x: str, y: str, fraction: float, seed: int = 42, ids: Sequence[str] | None = None
+) -> DataFrame:
+    """A seeded sample of points to draw; by a hash of the ids, if given, so that it is the same on any partitioning."""
+    if ids is None:
+        return df.select(x, y).sample(False, fraction, seed)
+    return df.where(stable_draw(seed, *[F.col(i) for i in ids]) < fraction).select(*ids, x, y)
