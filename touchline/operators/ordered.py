@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 
 from touchline.session import stage
 
-#: Rows that a slice of the order should hold; a window task sorts that many.
+#: Rows that a slice of the order should hold, and the most slices that a shuffle is cut into. Beyond that slices
+#: grow; a window task sorts its slice and spills what memory can't hold.
 SLICE_ROWS = 100_000
+MOST_SLICES = 20_000
 
 
 def range_slices(df: DataFrame, order: Sequence[str], slices: int | None = None, out: str = "_slice") -> DataFrame:
@@ -31,7 +33,7 @@ def range_slices(df: DataFrame, order: Sequence[str], slices: int | None = None,
     """
     if slices is None:
         df = stage(df, "unsliced")
-        slices = max(1, math.ceil(df.count() / SLICE_ROWS))
+        slices = min(MOST_SLICES, max(1, math.ceil(df.count() / SLICE_ROWS)))
     ranged = df.repartitionByRange(slices, *order) if slices > 1 else df.coalesce(1)
     return stage(ranged.withColumn(out, F.spark_partition_id()), "slices")
 
