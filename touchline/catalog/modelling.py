@@ -305,7 +305,7 @@ def model_table(spark, sf):
         rule_strategy(F.col("home_club_formation"), "home").alias("home_strategy"),
         rule_strategy(F.col("away_club_formation"), "away").alias("away_strategy"),
     )
-    return stage(impute(g, NUMERIC[1:], "mean"), "model")
+    return impute(stage(g, "model"), NUMERIC[1:], "mean")
 
 
 MODEL_SQL = f"""

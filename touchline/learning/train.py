@@ -30,7 +30,7 @@ from touchline.learning.gram import fold_of, learning_curve, linear_search
 from touchline.operators.relational import stable_draw
 
 SEED = 42
-ROWS_PER_TASK = 10_000
+ROWS_PER_TASK = 30_000
 
 
 # --- splitting --------------------------------------------------------------
