@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from touchline.operators import charts
 from touchline.operators.aggregates import first_known, lineup_profile, text_counts, totals
 from touchline.operators.charts import (
     auto_bins, auto_histogram, bootstrap_interval, box_stats, conditional_density, density_grid, histogram, mean_interval,
@@ -105,6 +106,25 @@ def test_bootstrap_covers_the_mean(spark):
     assert all(again[g]["low"] == pytest.approx(r["low"]) for g, r in got.items())
 
 
+def test_bootstrap_deals_its_rows_out(spark):
+    """Few input partitions must not mean few tasks; numbers that aren't finite spoil only the replicates that drew them."""
+    data = [(i, "a" if i % 2 else "b", float(i % 10)) for i in range(400)] + [(1000, "c", float("inf")), (None, "d", 4.0)]
+    df = spark.createDataFrame(data, "id long, g string, y double").coalesce(1)
+    tasks = []
+    original = charts._replicate_sums
+    charts._replicate_sums = lambda *args: tasks.append(args) or original(*args)
+    try:
+        out = bootstrap_interval(df, "g", "y", "id")
+    finally:
+        charts._replicate_sums = original
+    assert tasks == [("g", 200)]
+    assert "RoundRobinPartitioning(4)" in out._jdf.queryExecution().toString()
+    got = {r["g"]: r for r in out.collect()}
+    assert {g: r["n"] for g, r in got.items()} == {"a": 200, "b": 200, "c": 1, "d": 1}
+    assert got["c"]["low"] == math.inf and got["d"]["low"] == got["d"]["high"] == 4.0
+    assert got["a"]["mean"] == 5.0 and got["a"]["low"] < 5.0 < got["a"]["high"]
+
+
 def test_grid_density_is_near_the_direct_sum(spark):
     rnd = random.Random(22)
     xs = [rnd.gauss(0, 1) for _ in range(500)] + [rnd.gauss(6, 0.5) for _ in range(300)]

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from touchline.operators.relational import stable_draw
 from touchline.operators.stats import attach, group_percentiles
@@ -15,6 +18,8 @@ from touchline.operators.stats import attach, group_percentiles
 Z95 = 1.96
 # 16-bit draws from which a Poisson count of mean 1 is at least 1, 2, 3...
 POISSON_16 = (24110, 48219, 60274, 64292, 65297, 65498, 65531)
+#: Draws of the bootstrap worked out at once in a task.
+DRAWS_AT_ONCE = 1_000_000
 # Deviations beyond which the normal kernel is left out; its tail there is below 1e-8.
 REACH = 6.0
 
@@ -74,6 +79,33 @@ def mean_interval(df: DataFrame, x: str, y: str) -> DataFrame:
     return out.select(x, "n", "mean", (F.col("mean") - F.col("_half")).alias("low"), (F.col("mean") + F.col("_half")).alias("high"))
 
 
+def _replicate_sums(x: str, replicates: int):
+    """Weight and weighted sum of `_y` of each x and replicate in a batch; replicate -1 counts every row once."""
+    table = np.searchsorted(POISSON_16, np.arange(1 << 16), side="right").astype(float)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, max(1, DRAWS_AT_ONCE // replicates)):
+                part = batch.slice(a, max(1, DRAWS_AT_ONCE // replicates))
+                n = part.num_rows
+                draws = np.frombuffer(b"".join(part.column("_h").to_pylist()), ">u2").reshape(n, -1)[:, :replicates]
+                codes = part.column(x).dictionary_encode().indices.to_numpy(zero_copy_only=False)
+                order = np.argsort(codes, kind="stable")
+                edges = np.flatnonzero(np.diff(codes[order], prepend=-1))
+                weights = np.column_stack([np.ones(n), table[draws]])[order]
+                y = part.column("_y").to_numpy(zero_copy_only=False)[order][:, None]
+                with np.errstate(invalid="ignore", over="ignore"):
+                    # a number that isn't finite counts only where it was drawn
+                    product = weights * y if np.isfinite(y).all() else np.where(weights > 0, weights * y, 0.0)
+                    sums, total = np.add.reduceat(product, edges, axis=0), np.add.reduceat(weights, edges, axis=0)
+                group, replicate = np.nonzero(total)
+                key = part.column(x).take(pa.array(order[edges][group]))
+                numbers = [pa.array((replicate - 1).astype(np.int32)), pa.array(total[group, replicate]), pa.array(sums[group, replicate])]
+                yield pa.RecordBatch.from_arrays([key, *numbers], names=[x, "_b", "_w", "_s"])
+
+    return run
+
+
 def bootstrap_interval(
     df: DataFrame, x: str, y: str, row_id: str, replicates: int = 200, level: float = 0.95, seed: int = 42
 ) -> DataFrame:
@@ -81,21 +113,24 @@ def bootstrap_interval(
 
     Poisson bootstrap: a row counts in each replicate as often as a Poisson draw of
     mean 1 says. The draws are taken from digests of the row's id, eight of 16 bits
-    each, so they need no shuffle, are the same on any partitioning, and one
-    aggregate of (x, replicate) serves all replicates.
+    each, so they are the same on any partitioning. The rows are dealt out evenly
+    once, as a row costs many digests; each batch then passes on only its sums of
+    each (x, replicate), and one aggregate of those serves all replicates.
     """
-    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, row_id, F.col(y).cast("double").alias("_y"))
-    number = F.explode(F.sequence(F.lit(0), F.lit(math.ceil(replicates / 8) - 1))).alias("_d")
-    digest = known.select("*", number).withColumn("_h", F.md5(F.concat_ws(":", F.col(row_id).cast("string"), F.col("_d"), F.lit(seed))))
-    draw = lambda i: F.conv(F.substring("_h", 4 * i + 1, 4), 16, 10).cast("int")
-    weight = lambda u: sum((F.when(u >= t, 1).otherwise(0) for t in POISSON_16), F.lit(0))
-    drawn = digest.select(x, "_y", F.inline(F.array(*[F.struct((F.col("_d") * 8 + i).alias("_b"), weight(draw(i)).alias("_w")) for i in range(8)])))
-    drawn = drawn.where((F.col("_w") > 0) & (F.col("_b") < replicates))
-    means = drawn.groupBy(x, "_b").agg((F.sum(F.col("_y") * F.col("_w")) / F.sum("_w")).alias("_m"))
-    tail = (1 - level) / 2
-    ends = means.groupBy(x).agg(F.percentile("_m", F.array(F.lit(tail), F.lit(1 - tail))).alias("_e"))
-    whole = known.groupBy(x).agg(F.count("*").alias("n"), F.avg("_y").alias("mean"))
-    return whole.join(ends, x, "left").select(x, "n", "mean", F.col("_e")[0].alias("low"), F.col("_e")[1].alias("high"))
+    spark = df.sparkSession
+    slices = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    known = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(x, F.col(row_id).cast("string").alias("_id"), F.col(y).cast("double").alias("_y"))
+    digest = lambda d: F.md5(F.concat_ws(":", "_id", F.lit(d), F.lit(seed)))
+    digests = F.unhex(F.concat(*[digest(d) for d in range(math.ceil(replicates / 8))])).alias("_h")
+    kinds = T.StructType([known.schema[x], *[T.StructField(n, t()) for n, t in (("_b", T.IntegerType), ("_w", T.DoubleType), ("_s", T.DoubleType))]])
+    sums = known.repartition(slices).select(x, "_y", digests).mapInArrow(_replicate_sums(x, replicates), kinds)
+    means = sums.groupBy(x, "_b").agg(F.sum("_w").alias("_w"), (F.sum("_s") / F.sum("_w")).alias("_m"))
+    drawn, whole, tail = F.col("_b") >= 0, F.col("_b") < 0, (1 - level) / 2
+    each = means.groupBy(x).agg(
+        F.max(F.when(whole, F.col("_w"))).cast("long").alias("n"), F.max(F.when(whole, F.col("_m"))).alias("mean"),
+        F.percentile(F.when(drawn, F.col("_m")), F.array(F.lit(tail), F.lit(1 - tail))).alias("_e"),
+    )
+    return each.select(x, "n", "mean", F.col("_e")[0].alias("low"), F.col("_e")[1].alias("high"))
 
 
 def box_stats(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
