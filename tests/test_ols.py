@@ -4,7 +4,9 @@ import random
 import numpy as np
 import pytest
 
+from touchline.learning import ols
 from touchline.learning.ols import absorbed_least_squares, incomplete_beta, two_sided_p
+from touchline.session import stage
 
 
 def test_p_values():
@@ -76,3 +78,24 @@ def test_clubs_that_never_meet(spark):
 def test_no_rows(spark):
     out = absorbed_least_squares(spark.createDataFrame([], SCHEMA), ["y"], ["x"], ["c"], ["h"])
     assert out.terms.count() == 0 and out.rows.count() == 0
+
+
+def test_effects_settle_in_few_steps_and_leave_no_copies(spark, monkeypatch):
+    """A chain of clubs, where alternating means would need thousands of sweeps; no stage may hold the rows' columns."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(240):
+        h = i % 40
+        a = h + (i // 40) % 2
+        x, z = rng.gauss(0, 1) + h / 10, rng.random()
+        rows.append((i, h, a, x, z, x, "p", 0.5 * x - z + 0.1 * h + rng.gauss(0, 1), 0.0))
+    written = []
+    monkeypatch.setattr(ols, "stage", lambda df, name="stage": written.append((name, df.columns)) or stage(df, name))
+    out = absorbed_least_squares(spark.createDataFrame(rows, SCHEMA), ["y"], ["x", "z"], [], ["h", "a"], ["id"])
+    got = {r["term"]: r for r in out.terms.collect()}
+    beta, se, freedom, error = explicit(rows, 7, [1, 2])
+    for term, b, s in zip(("x", "z"), beta, se):
+        assert got[term]["estimate"] == pytest.approx(b, rel=1e-6) and got[term]["std_error"] == pytest.approx(s, rel=1e-6)
+    assert np.allclose([r["residual"] for r in out.rows.orderBy("id").collect()], error, atol=1e-6)
+    assert sum(n.startswith("effects-") for n, _ in written) < 120
+    assert not any("id" in cols for n, cols in written if n != "regression")
