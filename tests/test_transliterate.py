@@ -2,6 +2,7 @@ import random
 import unicodedata
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,3 +58,17 @@ def test_equals_a_walk_letter_by_letter():
 def test_in_spark(spark):
     df = spark.createDataFrame([(1, "Зенит"), (2, None), (3, "ok")], "i int, t string")
     assert [r[0] for r in df.orderBy("i").select(T.transliterate(F.col("t"))).collect()] == ["Zenit", None, "ok"]
+
+
+def test_large_batches_go_in_pieces(monkeypatch):
+    """Memory follows the piece and not the batch; the texts come out the same."""
+    from touchline.functions import transliterate as module
+
+    texts = pa.array(["Łódź\n", None, "", "Müller & Søn " * 30, "Щукин", "plain"] * 50)
+    whole = module.transliterated(texts)
+    sizes, original = [], module._piece
+    monkeypatch.setattr(module, "_piece", lambda part: sizes.append(pc.sum(pc.binary_length(part)).as_py()) or original(part))
+    monkeypatch.setattr(module, "PIECE_BYTES", 1000)
+    assert module.transliterated(texts).equals(whole)
+    assert len(sizes) > 20 and max(sizes) <= 2000
+    assert module.transliterated(texts.slice(0, 0)).equals(texts.slice(0, 0))
