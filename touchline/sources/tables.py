@@ -33,8 +33,11 @@ def _cell(name: str, kind: DataType, strict: bool) -> Column:
     text = F.trim(F.col(name))
     value = F.col(name).try_cast(kind)
     if kind.typeName() in ("integer", "long", "short"):
+        # a cast that fails costs far more than one that holds, so cells that are known to fail are told by their form
+        pointed, missing = text.rlike(r"^[+-]?[0-9]*[.][0-9]*$"), F.lower(text).isin(*NULL_TEXTS)
         number = text.try_cast("decimal(38,10)")
-        value = F.coalesce(value, F.when(number == F.floor(number), number.try_cast(kind)))
+        whole = F.when(number == F.floor(number), number.try_cast(kind))
+        value = F.when(missing, F.lit(None)).when(pointed, whole).otherwise(F.coalesce(value, whole))
     if strict and kind.typeName() != "string":
         lost = value.isNull() & F.col(name).isNotNull() & ~F.lower(text).isin(*NULL_TEXTS)
         value = F.when(lost, F.raise_error(F.concat(F.lit(f"column {name} can't hold "), text)).cast(kind)).otherwise(value)
