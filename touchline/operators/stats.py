@@ -71,7 +71,7 @@ def _narrowed(values: DataFrame, targets: DataFrame, keys: Sequence[str]) -> Dat
     buckets = targets.select(*keys, "_prefix", "_span").distinct()
     deeper = F.greatest(F.col("_span") - DIGIT, F.lit(0))
     held = _in_buckets(values, buckets, keys).withColumn("_to", deeper).withColumn("_part", F.expr("shiftright(_bits, _to)"))
-    parts = held.groupBy(*keys, "_prefix", "_span", "_to", "_part").agg(F.count("*").alias("_m"))
+    parts = held.groupBy(*keys, "_prefix", "_span", "_to", "_part").agg(F.sum("_c").alias("_m"))
     run = Window.partitionBy(*keys, "_prefix", "_span").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("_before", F.coalesce(F.sum("_m").over(run), F.lit(0)))
     found = targets.join(parts, [*keys, "_prefix", "_span"])
@@ -97,8 +97,9 @@ def group_percentiles(
 ) -> DataFrame:
     """Exact percentiles per group, interpolated linearly between neighbours.
 
-    ``probs`` maps output name to probability. Groups of at most ``direct`` rows
-    shrink to counts of distinct values and are ranked at once. Larger ones are
+    ``probs`` maps output name to probability. The rows shrink to counts of each
+    group's distinct values first, and no later step sees them again. Groups of at
+    most ``direct`` rows are ranked at once. Larger ones are
     searched by radix: the bucket of values that holds a rank is divided by the
     next DIGIT bits of their ordered bits, all groups and ranks in one aggregate,
     until buckets hold at most ``direct`` rows or one value. Only the rows of
@@ -109,9 +110,10 @@ def group_percentiles(
     keys = list(keys) or ["_all"]
     source = df if "_all" not in keys else df.withColumn("_all", F.lit(0))
     rows = source.where(_present([*keys, col])).select(*keys, F.col(col).cast("double").alias("_x"))
-    ddl = T.StructType([*rows.schema.fields, T.StructField("_bits", T.LongType())])
-    values = stage(rows.mapInArrow(_ordered_bits, ddl), "values")
-    sizes = values.groupBy(*keys).agg(F.count("*").alias("_total"), F.min("_bits").alias("_low"), F.max("_bits").alias("_high"))
+    counted = rows.groupBy(*keys, "_x").agg(F.count("*").alias("_c"))
+    ddl = T.StructType([*counted.schema.fields, T.StructField("_bits", T.LongType())])
+    values = stage(counted.mapInArrow(_ordered_bits, ddl), "values")  # each distinct value of a group once, with its count
+    sizes = values.groupBy(*keys).agg(F.sum("_c").alias("_total"), F.min("_bits").alias("_low"), F.max("_bits").alias("_high"))
     most = sizes.agg(F.max("_total")).first()[0] or 0
 
     # the ranks below and above each position, as targets; `_place` numbers them
@@ -121,13 +123,12 @@ def group_percentiles(
     targets = sizes.select("*", F.inline(F.array(*ranks)))
 
     if most <= direct:
-        counts = values.groupBy(*keys, "_bits", "_x").agg(F.count("*").alias("_c"))
-        ends = _at_ranks(counts, targets, keys, keys)
+        ends = _at_ranks(values, targets, keys, keys)
     else:
         light = targets.where(F.col("_total") <= direct)
         large = sizes.where(F.col("_total") > direct)  # at most one in `direct` rows is a large group
         marked = values.join(large.select(*keys), keys, "left_anti")
-        ends = _at_ranks(marked.groupBy(*keys, "_bits", "_x").agg(F.count("*").alias("_c")), light, keys, keys)
+        ends = _at_ranks(marked, light, keys, keys)
         span = _bit_length(F.col("_low").bitwiseXOR(F.col("_high")))
         prefix = F.expr("case when _span >= 64 then 0 else shiftright(_low, least(_span, 63)) end")
         open_ = targets.where(F.col("_total") > direct).withColumn("_span", span)
@@ -143,7 +144,7 @@ def group_percentiles(
             open_ = _narrowed(values, wide, keys).unionByName(open_.where((F.col("_n") <= direct) | (F.col("_span") == 0)))
         inside = [*keys, "_prefix", "_span"]
         last = _in_buckets(values, open_.select(*inside).distinct(), keys)
-        ends = ends.unionByName(_at_ranks(last.groupBy(*inside, "_bits", "_x").agg(F.count("*").alias("_c")), open_, inside, keys))
+        ends = ends.unionByName(_at_ranks(last, open_, inside, keys))
 
     place = {o: 2 * i for i, o in enumerate(probs)}
     at = lambda k: F.max(F.when(F.col("_place") == k, F.col("_value")))

@@ -31,6 +31,10 @@ MASTER_COLUMNS = {
     "net_transfer_record_home": "ntr_home", "net_transfer_record_away": "ntr_away",
     "stadium_seats_home": "seats", "home_club_goals": "goals_home", "away_club_goals": "goals_away",
 }
+GAME_COLUMNS = (
+    "game_id", "competition_id", "season", "date", "home_club_id", "away_club_id", "home_club_position", "away_club_position",
+    "home_club_formation", "away_club_formation", "attendance", "home_club_goals", "away_club_goals",
+)
 CARDS = {"red": "red card", "yellow": "yellow card"}
 LABELS = ("goals_home", "goals_away")
 NOT_FEATURES = ("date", "home_id", "away_id", "league", "assists_home", "assists_away")
@@ -73,9 +77,10 @@ def master_table(tables: Mapping[str, DataFrame], settings: Preparation = Prepar
 
     Only the reductions that pay are kept as semi-joins: appearances and events
     before their aggregates. Clubs, competitions, players and valuations are only
-    looked up, so cutting them first would not change a row.
+    looked up, so cutting them first would not change a row. The games are staged,
+    as both reductions and both folds of sides read them.
     """
-    games = tables["games"].where(F.col("competition_type") == settings.kind)
+    games = stage(tables["games"].where(F.col("competition_type") == settings.kind).select(*GAME_COLUMNS), "games")
     apps = keep_known(tables["appearances"], "game_id", games).select(
         "game_id", "player_id", F.col("player_club_id").alias("club_id"), "assists", F.col("date").cast("date").alias("date")
     )
