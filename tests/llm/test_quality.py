@@ -1,7 +1,9 @@
 import random
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
+from touchline.llm import quality
 from touchline.llm.quality import MEASURES, RULES, estimate, judge, measure
 
 
@@ -50,3 +52,14 @@ def test_judges_prose_and_junk(spark):
     assert by[103].base_failed and not by[100].base_failed
     assert len(by[0].votes) == len(RULES)
     assert judge(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_a_text_goes_to_the_tasks_once(spark):
+    """It was sent beside the row that holds it, which doubled what a task holds (pipeline's memory)."""
+    docs = spark.createDataFrame([(i, None if i == 3 else f"word {i} " * i) for i in range(9)], "doc_id long, text string")
+    found = quality.measures(docs)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and " AS text" not in plan
+    assert {r["row"]["doc_id"]: r["n_words"] for r in found.collect()} == {i: 0 if i == 3 else 2 * i for i in range(9)}
+    other = quality.measures(docs.withColumn("text", F.col("doc_id")))  # a column of another type is still cast
+    assert {r["row"]["doc_id"]: r["n_words"] for r in other.collect()} == {i: 1 for i in range(9)}

@@ -103,9 +103,16 @@ def measures(docs: DataFrame, text_column: str = "text") -> DataFrame:
     """`row`, a struct of all columns of docs, and the MEASURES of each row (long)."""
     source = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("row"), docs[text_column].cast("string").alias("text"))
     made = T.StructType([source.schema["row"], *(T.StructField(m, T.LongType()) for m in MEASURES)])
+    # a text that the row holds already isn't sent beside it
+    at = docs.columns.index(text_column) if source.schema["row"].dataType[text_column].dataType == T.StringType() else None
+    if at is not None:
+        source = source.select("row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            if at is not None:
+                row = batch.column("row")
+                batch = pa.RecordBatch.from_arrays([row, row.flatten()[at]], names=["row", "text"])
             for part in pieces(batch):
                 found = measure(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("row"), *(pa.array(found[m].astype(np.int64)) for m in MEASURES)], names=["row", *MEASURES])
