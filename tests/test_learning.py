@@ -191,3 +191,59 @@ def test_squared_silhouette_over_rows(spark):
             a, b = d[i, mine].mean(), min(d[i, [j for j, o in enumerate(labels) if o == z]].mean() for z in set(labels) - {c})
             total += (b - a) / max(a, b) if max(a, b) else 0.0
     assert squared_silhouette(df, weight="n").first()[0] == pytest.approx(total / len(rows))
+
+
+def _both(table, grids, folds=3):
+    """Our models and MLlib's on the same rows, by name."""
+    train, test = stable_split(table, ["id"])
+    ours = {f.name: f for f in train_regressors(train, test, "y", ["x", "noise"], ["c"], grids, folds)}
+    prepared = feature_pipeline(["x", "noise"], ["c"]).fit(train)
+    label = F.col("y").alias("label")
+    fit_on, score_on = (prepared.transform(d).select("features", label) for d in (train, test))
+    theirs = {}
+    for name, (estimator, grid) in grids.items():
+        model = estimator.fit(fit_on, grid[0] if grid else {})
+        theirs[name] = (evaluate_regression(model.transform(score_on)), importances(model, slot_names(fit_on)))
+    return ours, theirs
+
+
+def test_trees_are_those_of_mllib(table):
+    from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor
+
+    dt, deep = DecisionTreeRegressor(seed=1, maxDepth=4), DecisionTreeRegressor(seed=1, maxDepth=9, maxBins=64)
+    # no deeper: among few rows splits of equal gain are common, and rounding picks one
+    grids = {"tree": (dt, [{}]), "more bins": (deep, [{deep.maxDepth: 3}]), "boosted": (GBTRegressor(seed=1, maxIter=5, maxDepth=3), [])}
+    ours, theirs = _both(table, grids)
+    for name, (metrics, shares) in theirs.items():
+        assert ours[name].metrics == pytest.approx(metrics, rel=1e-6), name
+        assert dict(ours[name].importances) == pytest.approx(dict(shares), abs=1e-6), name
+
+
+def test_the_shallower_trees_of_a_grid_are_those_of_the_deepest(spark):
+    from touchline.learning.trees import Column, TreeModel, Trees
+
+    columns = [Column(0, 1, np.array([0.5, 1.5])), Column(1, 2, None)]
+    trees = Trees.empty(columns, 1, 2)
+    trees.column[0, 1], trees.cut[0, 1], trees.mean[0, 1:4] = 0, 0, [5.0, 1.0, 9.0]
+    trees.column[0, 3], trees.cut[0, 3], trees.mean[0, 6:8] = 1, 1, [8.0, 10.0]
+    x = np.array([[0, 1, 2, 2], [1, 1, 0, 2]], np.uint8)
+    assert [TreeModel(trees, np.ones(1), d, 3, 32).predict(x).tolist() for d in range(3)] == [[5.0] * 4, [1.0, 9.0, 9.0, 9.0], [1.0, 10.0, 8.0, 8.0]]
+
+
+def test_passes_over_the_rows_do_not_grow_with_the_grid(spark, table):
+    """All folds and settings of a forest grow in one job a level: before, each setting of each fold had its own passes."""
+    from pyspark.ml.regression import RandomForestRegressor
+    from pyspark.ml.tuning import ParamGridBuilder
+
+    from touchline.learning import trees
+
+    rf = RandomForestRegressor(numTrees=3, seed=5)
+    grid = ParamGridBuilder().addGrid(rf.maxDepth, [2, 4]).addGrid(rf.maxBins, [8, 16]).build()
+    passes, level = [], trees._level
+    trees._level = lambda *a: passes.append(a[2]) or level(*a)
+    try:
+        train, test = stable_split(table, ["id"])
+        fitted, = train_regressors(train, test, "y", ["x", "noise"], ["c"], {"RandomForest": (rf, grid)}, folds=2)
+    finally:
+        trees._level = level
+    assert 0 < len(passes) <= 8 and fitted.metrics["r2"] > 0.5

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from touchline.learning.gram import fold_of, learning_curve, linear_search
+from touchline.learning.trees import Blocks, TreeModel, blocks, errors, fit_boosted, fit_grid, metrics_of, ways_of
 from touchline.operators.relational import stable_draw
 
 SEED = 42
@@ -169,6 +170,37 @@ def _penalties(estimator, grid: Sequence[dict]) -> list[tuple[float, float]]:
     return [(of(e, estimator.regParam), of(e, estimator.elasticNetParam)) for e in grid]
 
 
+def _tree_grid(estimator, grid: Sequence[dict]) -> list[tuple[int, int]]:
+    """(depth, bins) of each entry if the estimator is a tree, forest or boosting with only these set, else none."""
+    if not isinstance(estimator, DecisionTreeRegressor | RandomForestRegressor | GBTRegressor):
+        return []
+    own = {"seed", "numTrees", "maxDepth", "maxBins"}
+    if any({p.name for p in entry} - own for entry in [*grid, {p: 0 for p in estimator.params if estimator.isSet(p)}]):
+        return []
+    if isinstance(estimator, GBTRegressor) and len(grid) > 1 or any(p.name == "numTrees" for entry in grid for p in entry):
+        return []
+    of = lambda entry, param: int(entry.get(param, estimator.getOrDefault(param)))
+    return [(of(e, estimator.maxDepth), of(e, estimator.maxBins)) for e in grid or [{}]]
+
+
+def _tree_blocks(fit_on: DataFrame, score_on: DataFrame, redrawn: int, groups: Sequence[int], grids: dict) -> tuple[Blocks, Blocks]:
+    """Training and test rows as blocks, binned for every number of bins in the grids."""
+    rows = fit_on.count()
+    if redrawn:
+        fit_on = fit_on.withColumn("fold", F.pmod(F.monotonically_increasing_id(), F.lit(redrawn)).cast("int"))
+    ways = ways_of(fit_on, groups, sorted({most for grid in grids.values() for _, most in grid}), rows)
+    width = fit_on.schema["features"].metadata["ml_attr"]["num_attrs"]
+    return blocks(fit_on, ways, width, rows), blocks(score_on.withColumn("fold", F.lit(0)), ways, width, 0)
+
+
+def _fit_trees(data: Blocks, estimator, grid: Sequence[tuple[int, int]], folds: int) -> TreeModel:
+    seed = estimator.getSeed()
+    if isinstance(estimator, GBTRegressor):
+        (depth, most), = grid
+        return fit_boosted(data, depth, most, estimator.getMaxIter(), estimator.getStepSize())
+    return fit_grid(data, grid, estimator.getNumTrees() if isinstance(estimator, RandomForestRegressor) else 1, folds, seed)
+
+
 def train_regressors(
     train: DataFrame,
     test: DataFrame,
@@ -198,7 +230,15 @@ def train_regressors(
     score_on = prepared.transform(test).where(F.col(label).isNotNull()).select(*cols).persist()
     names = slot_names(fit_on)
     fitted = []
-    for name, (estimator, grid) in (grids or regression_grids(seed)).items():
+    wanted = grids or regression_grids(seed)
+    trees = {name: found for name, (estimator, grid) in wanted.items() if (found := _tree_grid(estimator, grid))}
+    data, data_test = _tree_blocks(fit_on, score_on, folds if few else 0, [len([n for n in names if n.startswith(f"{c}_vec_")]) for c in categorical], trees) if trees else (None, None)
+    for name, (estimator, grid) in wanted.items():
+        if name in trees:
+            model = _fit_trees(data, estimator, trees[name], folds)
+            metrics = metrics_of(errors(data_test, [(model.most, -1, model)])[0])
+            fitted.append(Fitted(name, model, metrics, importances(model, names)))
+            continue
         penalties = _penalties(estimator, grid)
         if len(grid) > 1 and penalties:
             _, _, best = linear_search(fit_on, "label", F.col("fold"), folds, penalties)
