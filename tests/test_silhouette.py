@@ -40,3 +40,19 @@ def test_repeated_points_and_few_clusters(spark):
     assert row["silhouette"] == pytest.approx(brute(np.array([r[:2] for r in rows]), [r[2] for r in rows]), abs=row["error"] + 1e-9)
     assert tuple(silhouette_within(df.where("c = 'x'"), ["a", "b"], "c").first()) == (0.0, 0.0)
     assert silhouette_within(df.where("c = 'z'"), ["a", "b"], "c").count() == 0
+
+
+def test_work_grows_with_the_points(spark):
+    rng = np.random.default_rng(5)
+    worked = []
+    for n in (3000, 12000):
+        x, labels = rng.normal(size=(n, 2)) * [1, 5], rng.integers(0, 2, n)
+        x[: n // 50] *= 40
+        trace = {}
+        df = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(x, labels)], "a double, b double, c int")
+        row = silhouette_within(df, ["a", "b"], "c", 0.01, 8, trace).first()
+        assert row["error"] <= 0.01
+        worked.append(trace["worked"] / n)
+        if n == 3000:
+            assert abs(row["silhouette"] - brute(x, labels.tolist())) <= row["error"] + 1e-9
+    assert worked[1] < 1000 and worked[1] < 2.5 * worked[0]
