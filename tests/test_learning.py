@@ -247,3 +247,38 @@ def test_passes_over_the_rows_do_not_grow_with_the_grid(spark, table):
     finally:
         trees._level = level
     assert 0 < len(passes) <= 8 and fitted.metrics["r2"] > 0.5
+
+
+def test_classification_trees_from_counts(spark, monkeypatch):
+    # the two tree classifiers aren't fitted by passes over single rows any more
+    def refused(self, df, params=None):
+        raise AssertionError("fitted row by row")
+
+    monkeypatch.setattr("pyspark.ml.classification.DecisionTreeClassifier.fit", refused)
+    monkeypatch.setattr("pyspark.ml.classification.RandomForestClassifier.fit", refused)
+    rnd = random.Random(8)
+    rows = []
+    for _ in range(600):
+        x, c = rnd.randrange(8), rnd.choice("uvw")
+        rows.append((float(x), c, "win" if c == "u" and x > 3 else "loss" if x > 5 else "draw"))
+    train = spark.createDataFrame([*rows, (1.0, "u", None)], "x double, c string, y string")
+    test = spark.createDataFrame([*rows[:100], (2.0, None, "draw"), (2.0, "z", "draw"), (2.0, "v", "other")], "x double, c string, y string")
+    got = {r["model"]: r for r in train_classifiers(train, test, "y", ["x"], ["c"]).collect()}
+    assert got["DecisionTree"]["accuracy"] == pytest.approx(102 / 103) and got["DecisionTree"]["weighted_recall"] == pytest.approx(102 / 103)
+    assert got["RandomForest"]["accuracy"] > 0.7
+
+
+def test_split_by_gini(spark):
+    from touchline.learning.trees import Blocks, blocks, columns_of, confusions, fit_classes
+
+    y = [0, 0, 0, 1, 1, 2]
+    df = spark.createDataFrame([([float(i), float(i % 2)], float(k), 0) for i, k in enumerate(y)], "x array<double>, label double, fold int").coalesce(1)
+    columns = columns_of(np.array([[i, i % 2] for i in range(6)], float), [1], 32, indexed=True)
+    data = blocks(df, {32: columns}, 2, 6)
+    assert isinstance(data, Blocks)
+    model = fit_classes(data, 3, 1, 32, 1, 0)
+    t = model.trees
+    # the number is cut between 2 and 3: Gini times rows falls from 22/6 to 4/3
+    assert t.column[0, 1] == 0 and t.cut[0, 1] == 2 and t.gain[0, 1] == pytest.approx(22 / 6 - 4 / 3)
+    assert np.allclose(t.mean[0, 1:4], [[1 / 2, 1 / 3, 1 / 6], [1, 0, 0], [0, 2 / 3, 1 / 3]])
+    assert confusions(data, [model]) == [{(0.0, 0.0): 3, (1.0, 1.0): 2, (2.0, 1.0): 1}]

@@ -1,9 +1,10 @@
-"""Regression trees from histograms: single trees, random forests and boosted trees, as MLlib defines them.
+"""Trees from histograms: regression and classification trees, random forests and boosted trees, as MLlib defines them.
 
 The features are cut into bins once, and the rows are staged as blocks of bytes, one
 byte for a number and one for all slots of an encoded category. One job a level gives
-each open node of all trees the counts and sums of its bins: tasks pass on their part
-of each node, and the tasks after the shuffle choose the best split. Only the splits
+each open node of all trees the counts and sums of its bins (of a classification tree
+the counts of each class): tasks pass on their part of each node, and the tasks after
+the shuffle choose the best split. Only the splits
 reach the driver. The models of all folds grow in the same jobs, and a tree grown to
 the greatest depth holds the shallower ones of its grid.
 """
@@ -65,9 +66,12 @@ def cuts_of(values: np.ndarray, most: int) -> np.ndarray:
     return np.array(cuts[: most - 1])
 
 
-def columns_of(sample: np.ndarray, groups: Sequence[int], most: int) -> list[Column]:
-    """Columns of a table whose first slots are numbers, then groups of encoded categories of the given sizes."""
-    numbers = sample.shape[1] - sum(groups)
+def columns_of(sample: np.ndarray, groups: Sequence[int], most: int, indexed: bool = False) -> list[Column]:
+    """Columns of a table whose first slots are numbers, then groups of encoded categories of the given sizes.
+
+    An `indexed` table has the number of its slot in place of each group.
+    """
+    numbers = sample.shape[1] - (len(groups) if indexed else sum(groups))
     out = [Column(j, 1, cuts_of(sample[:, j], min(most, max(2, len(sample))))) for j in range(numbers)]
     at = numbers
     for size in groups:
@@ -76,11 +80,13 @@ def columns_of(sample: np.ndarray, groups: Sequence[int], most: int) -> list[Col
     return out
 
 
-def binned(x: np.ndarray, columns: Sequence[Column]) -> np.ndarray:
+def binned(x: np.ndarray, columns: Sequence[Column], indexed: bool = False) -> np.ndarray:
     out = np.zeros((len(columns), len(x)), np.uint8 if max(c.bins for c in columns) <= 256 else np.uint16)
     for i, c in enumerate(columns):
         if c.cuts is not None:
             out[i] = np.searchsorted(c.cuts, x[:, c.start])
+        elif indexed:
+            out[i] = np.minimum(x[:, i], c.slots)
         elif c.slots:
             part = x[:, c.start : c.start + c.slots]
             out[i] = np.where(part.any(1), part.argmax(1), c.slots)
@@ -89,7 +95,10 @@ def binned(x: np.ndarray, columns: Sequence[Column]) -> np.ndarray:
 
 @dataclass
 class Trees:
-    """Trees in heap order, root 1: the column and the bin or slot that divide a node (column -1: a leaf), and its mean."""
+    """Trees in heap order, root 1: the column and the bin or slot that divide a node (column -1: a leaf), and its mean.
+
+    The mean of a classification tree is the share of each class.
+    """
 
     columns: Sequence[Column]
     depth: int
@@ -100,9 +109,14 @@ class Trees:
     gain: np.ndarray
 
     @classmethod
-    def empty(cls, columns: Sequence[Column], trees: int, depth: int) -> Trees:
+    def empty(cls, columns: Sequence[Column], trees: int, depth: int, classes: int = 0) -> Trees:
         size = (trees, 2 << depth)
-        return cls(columns, depth, np.full(size, -1, np.int16), np.zeros(size, np.int32), np.zeros(size), np.zeros(size), np.zeros(size))
+        mean = np.zeros((*size, classes) if classes else size)
+        return cls(columns, depth, np.full(size, -1, np.int16), np.zeros(size, np.int32), mean, np.zeros(size), np.zeros(size))
+
+    @property
+    def classes(self) -> int:
+        return self.mean.shape[2] if self.mean.ndim == 3 else 0
 
     def reach(self, tree: int, x: np.ndarray, depth: int) -> np.ndarray:
         """The node of each row at the given depth, or its leaf above."""
@@ -122,7 +136,7 @@ class Trees:
 
     def predict(self, x: np.ndarray, weights: np.ndarray, depth: int | None = None) -> np.ndarray:
         most = self.depth if depth is None else depth
-        return sum((w * self.mean[t][self.reach(t, x, most)] for t, w in enumerate(weights)), np.zeros(x.shape[1]))
+        return sum((w * self.mean[t][self.reach(t, x, most)] for t, w in enumerate(weights)), np.zeros((x.shape[1], *self.mean.shape[2:])))
 
 
 @dataclass
@@ -177,32 +191,38 @@ def _read(batch: pa.RecordBatch, ways: dict[int, list[Column]]) -> Iterator[tupl
         yield x, np.frombuffer(get("label")), np.frombuffer(get("fold"), np.uint8), np.frombuffer(get("score")), get("base")
 
 
+def _inputs(df: DataFrame):
+    """The inputs of each row as an array: those in a column x, with an index for each category, or the slots of the features."""
+    return F.col("x") if "x" in df.columns else vector_to_array("features").alias("x")
+
+
 def ways_of(df: DataFrame, groups: Sequence[int], mosts: Sequence[int], rows: int) -> dict[int, list[Column]]:
     """The columns for each greatest number of bins, their cuts from a sample of the rows (all, if few)."""
-    width = df.schema["features"].metadata["ml_attr"]["num_attrs"]
+    width, indexed = df.schema["features"].metadata["ml_attr"]["num_attrs"], "x" in df.columns
+    width = width - sum(groups) + len(groups) if indexed else width
     wanted = max(CUT_ROWS, max(m * m for m in mosts))
-    draw = F.pmod(F.xxhash64(vector_to_array("features"), "label", F.monotonically_increasing_id()), F.lit(1 << 40))
+    draw = F.pmod(F.xxhash64(_inputs(df), "label", F.monotonically_increasing_id()), F.lit(1 << 40))
     some = df if rows <= wanted else df.where(draw < math.ceil(wanted / rows * (1 << 40)))
-    x = some.select(vector_to_array("features").alias("x")).toArrow().column("x").combine_chunks()
+    x = some.select(_inputs(df)).toArrow().column("x").combine_chunks()
     sample = x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), width) if len(x) else np.zeros((0, width))
-    return {m: columns_of(sample, groups, min(m, max(2, rows))) for m in mosts}
+    return {m: columns_of(sample, groups, min(m, max(2, rows)), indexed) for m in mosts}
 
 
 def blocks(df: DataFrame, ways: dict[int, list[Column]], width: int, rows: int) -> Blocks:
     """Rows (features, label, fold) as staged blocks."""
-    fields = _BLOCK + ", ".join(f"x{m} binary" for m in ways)
+    fields, indexed = _BLOCK + ", ".join(f"x{m} binary" for m in ways), "x" in df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def block() -> pa.RecordBatch:
             t = pa.Table.from_batches(held).combine_chunks()
-            x = t.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, width)
+            x = t.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1)
             out = {
                 "base": t.column("id")[0].as_py(), "n": t.num_rows, "label": t.column("label").to_numpy().tobytes(),
                 "fold": t.column("fold").to_numpy().astype(np.uint8).tobytes(), "score": np.zeros(t.num_rows).tobytes(),
             }
-            out |= {f"x{m}": binned(x, columns).tobytes() for m, columns in ways.items()}
+            out |= {f"x{m}": binned(x, columns, indexed).tobytes() for m, columns in ways.items()}
             held.clear()
             kinds = {"base": pa.int64(), "n": pa.int64()}
             return pa.RecordBatch.from_arrays([pa.array([v], kinds.get(k, pa.binary())) for k, v in out.items()], names=list(out))
@@ -215,7 +235,7 @@ def blocks(df: DataFrame, ways: dict[int, list[Column]], width: int, rows: int)
         if held:
             yield block()
 
-    some = df.select(vector_to_array("features").alias("x"), "label", F.col("fold").cast("int").alias("fold"), F.monotonically_increasing_id().alias("id"))
+    some = df.select(_inputs(df), "label", F.col("fold").cast("int").alias("fold"), F.monotonically_increasing_id().alias("id"))
     return Blocks(stage(some.mapInArrow(run, fields), "blocks"), ways, width, rows)
 
 
@@ -257,7 +277,7 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows))])
 
 
-_SPLIT = "model int, tree int, node int, slot int, col int, cut int, gain double, n double, mean double, n_right double, mean_right double"
+_SPLIT = "model int, tree int, node int, slot int, col int, cut int, gain double, n double, mean array<double>, n_right double, mean_right array<double>"
 
 
 def _level(data: Blocks, models: Sequence[Growing], level: int, target: Callable, tasks: int) -> list:
@@ -274,7 +294,8 @@ def _level(data: Blocks, models: Sequence[Growing], level: int, target: Callable
             used = [np.flatnonzero(fold != model.left_out) if model.left_out >= 0 else slice(None) for _, _, fold, _ in held]
             seen = [(np.ascontiguousarray(x[model.most][:, u]), y[u]) for (x, y, _, _), u in zip(held, used, strict=True)]
             for t in range(len(model.trees.column)):
-                sums = [np.zeros((c.bins << level, 2)) for c in model.trees.columns]
+                classes = model.trees.classes
+                sums = [np.zeros((c.bins << level, 1 + max(1, classes))) for c in model.trees.columns]
                 for (x, y), (_, _, fold, base), u in zip(seen, held, used, strict=True):
                     node = model.trees.reach(t, x, level)
                     opened = ~model.done[t].take(node)
@@ -282,12 +303,17 @@ def _level(data: Blocks, models: Sequence[Growing], level: int, target: Callable
                     at = np.flatnonzero(opened if w is None else opened & (w > 0))
                     place = (node[at] - (1 << level)).astype(np.int64)
                     weight = None if w is None else w[at]
-                    wy = y[at] if w is None else weight * y[at]
+                    wy = y[at].astype(np.int64) if classes else y[at] if w is None else weight * y[at]
                     for c, column in enumerate(model.trees.columns):
                         cell = place * column.bins + x[c].take(at)
+                        if classes:
+                            counts = np.bincount(cell * classes + wy, weight, (column.bins << level) * classes).reshape(-1, classes)
+                            sums[c][:, 0] += counts.sum(1)
+                            sums[c][:, 1:] += counts
+                            continue
                         sums[c][:, 0] += np.bincount(cell, weight, column.bins << level)
                         sums[c][:, 1] += np.bincount(cell, wy, column.bins << level)
-                filled = np.flatnonzero(sums[0].reshape(1 << level, -1, 2)[:, :, 0].sum(1) > 0)
+                filled = np.flatnonzero(sums[0][:, 0].reshape(1 << level, -1).sum(1) > 0)
                 look = model.looks(t, filled + (1 << level), width)
                 for c, column in enumerate(model.trees.columns):
                     nodes = filled[look[:, column.start : column.start + column.slots].any(1)]
@@ -309,31 +335,34 @@ def _level(data: Blocks, models: Sequence[Growing], level: int, target: Callable
         for (m, t, node, c), part in sorted(sums.items()):
             model = models[m]
             column = model.trees.columns[c]
-            n, s = part.reshape(-1, 2).T
-            n_all, s_all = n.sum(), s.sum()
+            part = part.reshape(-1, 1 + max(1, model.trees.classes))
+            n, s = part[:, 0], part[:, 1:]
+            n_all, s_all = n.sum(), s.sum(0)
             if column.cuts is None:
                 n_right, s_right = n[:-1], s[:-1]
                 slots = np.arange(column.start, column.start + column.slots)
                 look = model.looks(t, np.array([node]), width)[0, slots]
             else:
-                n_right, s_right = n_all - n.cumsum()[:-1], s_all - s.cumsum()[:-1]
+                n_right, s_right = n_all - n.cumsum()[:-1], s_all - s.cumsum(0)[:-1]
                 look = np.ones(len(n_right), bool)
             n_left, s_left = n_all - n_right, s_all - s_right
             with np.errstate(divide="ignore", invalid="ignore"):
-                gain = s_left**2 / n_left + s_right**2 / n_right - s_all**2 / n_all
+                # less variance, or less Gini impurity, which is the variance of all classes' marks
+                whole = float((s_all**2).sum() / n_all)
+                gain = (s_left**2).sum(1) / n_left + (s_right**2).sum(1) / n_right - whole
             gain = np.where(look & (n_left > 0.5) & (n_right > 0.5), gain, -1.0)
             i = int(gain.argmax()) if len(gain) else -1
             key = (m, t, node)
             value = float(gain[i]) if i >= 0 else -1.0
-            if value <= 1e-12 * max(1.0, s_all**2 / n_all):
+            if value <= 1e-12 * max(1.0, whole):
                 value = -1.0
             if key not in found or value > found[key][2]:
-                right = (float(n_right[i]), float(s_right[i] / n_right[i])) if value > 0 else (0.0, 0.0)
+                right = (float(n_right[i]), (s_right[i] / n_right[i]).tolist()) if value > 0 else (0.0, [])
                 slot = column.start + (i if column.cuts is None else 0)
-                found[key] = (slot if value > 0 else -1, (c, i), value, float(n_all), float(s_all / n_all), *right)
+                found[key] = (slot if value > 0 else -1, (c, i), value, float(n_all), (s_all / n_all).tolist(), *right)
         if found:
             rows = [(*key, v[0], *v[1], *v[2:]) for key, v in found.items()]
-            kinds = [pa.int32()] * 6 + [pa.float64()] * 5
+            kinds = [pa.int32()] * 6 + [pa.float64()] * 2 + [pa.list_(pa.float64()), pa.float64(), pa.list_(pa.float64())]
             names = [f.split()[0] for f in _SPLIT.split(", ")]
             yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
@@ -354,15 +383,17 @@ def grow(data: Blocks, models: Sequence[Growing], depth: int, target: Callable =
             model.done[:, : 4 << level] = True
         for r in found:
             t, tree, node = models[r["model"]].trees, r["tree"], r["node"]
+            shape, whole = t.mean.shape[2:], np.array(r["mean"])
             if level == 0:
-                t.mean[tree, node], t.count[tree, node] = r["mean"], r["n"]
+                t.mean[tree, node], t.count[tree, node] = whole.reshape(shape), r["n"]
             if r["slot"] < 0:
                 continue
             t.column[tree, node], t.cut[tree, node], t.gain[tree, node] = r["col"], r["cut"], r["gain"]
             n, right = r["n"], r["n_right"]
-            left_mean = (r["n"] * r["mean"] - right * r["mean_right"]) / (n - right)
-            for child, rows, mean in ((2 * node, n - right, left_mean), (2 * node + 1, right, r["mean_right"])):
-                t.count[tree, child], t.mean[tree, child] = rows, mean
+            right_mean = np.array(r["mean_right"])
+            left_mean = (n * whole - right * right_mean) / (n - right)
+            for child, rows, mean in ((2 * node, n - right, left_mean), (2 * node + 1, right, right_mean)):
+                t.count[tree, child], t.mean[tree, child] = rows, mean.reshape(shape)
                 models[r["model"]].done[tree, child] = False
         if not any(r["slot"] >= 0 for r in found):
             break
@@ -422,6 +453,31 @@ def fit_grid(data: Blocks, grid: Sequence[tuple[int, int]], trees: int, folds: i
     return TreeModel(model.trees, weights, depth, data.width, most)
 
 
+def fit_classes(data: Blocks, classes: int, depth: int, most: int, trees: int, seed: int) -> TreeModel:
+    """The classification tree (`trees` 1) or forest on all rows, whose labels number the classes."""
+    looked_at = data.width if trees == 1 else max(1, math.ceil(math.sqrt(data.width)))
+    model = Growing(most, -1, Trees.empty(data.ways[most], trees, depth, classes), looked_at, trees > 1, seed)
+    grow(data, [model], depth)
+    return TreeModel(model.trees, np.full(trees, 1 / trees), depth, data.width, most)
+
+
+def confusions(data: Blocks, models: Sequence[TreeModel]) -> list[dict[tuple[float, float], int]]:
+    """Of each classification model: the rows of each label and class said, in one job for all."""
+    ways = data.ways
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, label, _, _, _ in _read(batch, ways):
+                for i, model in enumerate(models):
+                    pairs, n = np.unique(np.stack([label, model.predict(x[model.most]).argmax(1)]), axis=1, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), i, np.int32)), pa.array(pairs[0]), pa.array(pairs[1]), pa.array(n)], names=["model", "y", "p", "n"])
+
+    out: list[dict] = [{} for _ in models]
+    for r in data.df.mapInArrow(run, "model int, y double, p double, n long").groupBy("model", "y", "p").agg(F.sum("n").alias("n")).collect():
+        out[r["model"]][r["y"], r["p"]] = r["n"]
+    return out
+
+
 def fit_boosted(data: Blocks, depth: int, most: int, rounds: int, rate: float) -> TreeModel:
     """Boosted trees on squared errors: each tree fits twice the residuals of those before it."""
     columns, fields = data.ways[most], data.df.schema
