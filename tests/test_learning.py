@@ -282,3 +282,25 @@ def test_split_by_gini(spark):
     assert t.column[0, 1] == 0 and t.cut[0, 1] == 2 and t.gain[0, 1] == pytest.approx(22 / 6 - 4 / 3)
     assert np.allclose(t.mean[0, 1:4], [[1 / 2, 1 / 3, 1 / 6], [1, 0, 0], [0, 2 / 3, 1 / 3]])
     assert confusions(data, [model]) == [{(0.0, 0.0): 3, (1.0, 1.0): 2, (2.0, 1.0): 1}]
+
+
+def test_classification_tree_as_mllib(spark):
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.feature import StringIndexer
+
+    from touchline.learning.train import evaluate_classes, feature_pipeline
+
+    rnd = random.Random(11)
+    rows = []
+    for _ in range(4000):
+        a, b, c, d = rnd.random(), rnd.gauss(0, 1), rnd.choice("pqrs"), rnd.choice("uv")
+        score = a + (b > 0.3) + (c == "q") * (d == "u") + rnd.gauss(0, 0.5)
+        rows.append((a, b, c, d, "win" if score > 1.4 else "draw" if score > 0.7 else "loss"))
+    df = spark.createDataFrame(rows, "a double, b double, c string, d string, y string")
+    train, test = df.where("a * 10 % 1 < 0.7"), df.where("a * 10 % 1 >= 0.7")
+    ours = next(r for r in train_classifiers(train, test, "y", ["a", "b"], ["c", "d"]).collect() if r["model"] == "DecisionTree")
+    index = StringIndexer(inputCol="y", outputCol="label").fit(train)
+    prepared = feature_pipeline(["a", "b"], ["c", "d"]).fit(train)
+    model = DecisionTreeClassifier(seed=42).fit(prepared.transform(index.transform(train)))
+    theirs = evaluate_classes(model.transform(prepared.transform(index.transform(test))))
+    assert ours["accuracy"] == pytest.approx(theirs["accuracy"]) and ours["weighted_precision"] == pytest.approx(theirs["weightedPrecision"])
